@@ -17,10 +17,10 @@ def split_lines(text: Column | str) -> Column:
     """Lines of a text, as a text file holding it would be read.
 
     A terminator at the very end closes the last line rather than opening
-    another, and an empty text has no line.
+    another. An empty text has no line: the result is NULL, as for a NULL text.
     """
-    pieces = F.split(text, LINE_END)
-    return F.when(F.element_at(pieces, -1) == "", F.slice(pieces, 1, F.size(pieces) - 1)).otherwise(pieces)
+    closed = F.regexp_replace(text, rf"(?:{LINE_END})\z", "")
+    return F.when(F.length(text) > 0, F.split(closed, LINE_END))
 
 
 def tokenize(line: Column | str) -> Column:

@@ -13,15 +13,24 @@ def tokenized(corpus: DataFrame, tokens: Column | None = None) -> DataFrame:
     return corpus.select("doc", "line_no", (tokenize("line") if tokens is None else tokens).alias("tokens"))
 
 
+def exploded(records: DataFrame, terms: Column, *keep: Column | str) -> DataFrame:
+    """``(keep..., pos, term)``: one row per element of ``terms``.
+
+    The outer form with a filter behind it, since before an inner explode the
+    optimizer adds a test for empty arrays that evaluates ``terms`` once more.
+    """
+    return records.select(*keep, F.posexplode_outer(terms).alias("pos", "term")).where("term IS NOT NULL")
+
+
 def word_count(records: DataFrame) -> DataFrame:
     """``(term, n)``: occurrences of each term."""
-    return records.select(F.explode("tokens").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return exploded(records, F.col("tokens")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def doc_frequency(records: DataFrame) -> DataFrame:
     """``(term, df)``: records containing each term."""
     return (
-        records.select(F.explode(distinct_terms("tokens")).alias("term"))
+        exploded(records, distinct_terms("tokens"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
@@ -31,7 +40,7 @@ def term_frequency(corpus: DataFrame, granularity: str = "document", keep_empty:
     """``(doc, term, tf)``, or ``(doc, line_no, term, tf)`` for ``granularity="record"``."""
     unit = {"document": ["doc"], "record": ["doc", "line_no"]}[granularity]
     return (
-        corpus.select(*unit, F.explode(tokenize_ws("line", keep_empty)).alias("term"))
+        exploded(corpus, tokenize_ws("line", keep_empty), *unit)
         .groupBy(*unit, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .skew import salted_join
+from .skew import sized_join, text_bytes
 
 # Rows of this many list items are still comfortable for one task.
 LIST_SIZE = 100_000
-# A table is broadcast only after its measured size is found below this.
-BROADCAST_BYTES = 64 << 20
 
 
 def bounded_lists(
@@ -39,19 +37,13 @@ def bounded_lists(
 
     totals = rows.groupBy(key).agg(F.sum("copies").alias("total"))
     large = totals.where(F.col("total") > size)
-    n_large, key_bytes = large.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))
-    ).first()
-    if n_large == 0:
+    large_bytes = large.agg(text_bytes(key)).first()[0]
+    if large_bytes == 0:
         return _collect(rows, key, [], sort_by, items, copies).select(
             key, "total", F.lit(0).cast("bigint").alias("segment"), "items"
         )
 
-    if key_bytes + 16 * n_large <= BROADCAST_BYTES:
-        marked = rows.join(F.broadcast(large), key, "left")
-    else:
-        marked = salted_join(rows, large, key, "total", sort_by, "left")
-
+    marked = sized_join(rows, large, large_bytes, key, "total", sort_by, "left")
     small_lists = _collect(marked.where("total IS NULL").drop("total"), key, [], sort_by, items, copies).select(
         key, "total", F.lit(0).cast("bigint").alias("segment"), "items"
     )

@@ -1,10 +1,13 @@
-"""Equi-join whose key may be very unevenly spread."""
+"""Equi-joins to a one-row-per-key table, whatever its size and the spread of the keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A table is broadcast only after its measured size is found below this.
+BROADCAST_BYTES = 64 << 20
+
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -56,3 +59,17 @@ def salted_join(
         .drop("key_hash", "salts")
     )
     return salted_rows.join(salted_dim, [key, "salt"], how).drop("salt")
+
+
+def text_bytes(column: str) -> Column:
+    """Aggregate that measures a table for ``sized_join``: its text, and 32 bytes a row."""
+    return F.coalesce(F.sum(F.octet_length(F.col(column).cast("string")) + 32), F.lit(0))
+
+
+def sized_join(
+    rows: DataFrame, dim: DataFrame, dim_bytes: int, key: str, weight: str, spread_by: list[str], how: str = "inner"
+) -> DataFrame:
+    """Broadcast ``dim`` where its measured size allows, else ``salted_join``."""
+    if dim_bytes <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(dim), key, how)
+    return salted_join(rows, dim, key, weight, spread_by, how)

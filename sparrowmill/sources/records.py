@@ -28,9 +28,6 @@ def _keep(parsed: DataFrame, ok: Column, columns: dict[str, Column], on_bad: str
 
 # -- edges ------------------------------------------------------------------
 
-_EDGE_OK = F.size("fields") >= 2
-
-
 def _edge_fields(lines: DataFrame, single_space: bool) -> DataFrame:
     return _split(lines, trimmed_fields("value", WHITESPACE_ONE if single_space else WHITESPACE_RUN))
 
@@ -42,11 +39,11 @@ def read_edges(lines: DataFrame, on_bad: str = "fail", single_space: bool = Fals
     whitespace character, so that two spaces enclose an empty field.
     """
     columns = {"src": F.get("fields", F.lit(0)), "dst": F.get("fields", F.lit(1))}
-    return _keep(_edge_fields(lines, single_space), _EDGE_OK, columns, on_bad, "edge needs two fields")
+    return _keep(_edge_fields(lines, single_space), F.size("fields") >= 2, columns, on_bad, "edge needs two fields")
 
 
 def edge_rejects(lines: DataFrame, single_space: bool = False) -> DataFrame:
-    return _edge_fields(lines, single_space).where(~_EDGE_OK).select("value")
+    return _edge_fields(lines, single_space).where(F.size("fields") < 2).select("value")
 
 
 # -- points and vectors -----------------------------------------------------
@@ -70,12 +67,13 @@ def point_rejects(lines: DataFrame, dims: int = 2) -> DataFrame:
     return _numbers(lines).where(~_point_ok(dims)).select("value")
 
 
-_VECTOR_OK = ~F.exists("fields", lambda v: v.isNull())
+def _vector_ok() -> Column:
+    return ~F.exists("fields", lambda v: v.isNull())
 
 
 def read_vector_arrays(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
     """All comma-separated numbers of each line as ``features ARRAY<DOUBLE>``."""
-    return _keep(_numbers(lines), _VECTOR_OK, {"features": F.col("fields")}, on_bad, "bad vector")
+    return _keep(_numbers(lines), _vector_ok(), {"features": F.col("fields")}, on_bad, "bad vector")
 
 
 def read_vectors(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
@@ -85,9 +83,6 @@ def read_vectors(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
 
 # -- side tables ------------------------------------------------------------
 
-_COUNT_OK = F.size("fields") == 2
-
-
 def _count_fields(lines: DataFrame) -> DataFrame:
     return _split(lines, trimmed_fields("value", WHITESPACE_RUN))
 
@@ -97,14 +92,14 @@ def read_counts(lines: DataFrame) -> DataFrame:
     n = F.get("fields", F.lit(1)).try_cast("bigint")
     return (
         _count_fields(lines)
-        .where(_COUNT_OK)
+        .where(F.size("fields") == 2)
         .select(F.get("fields", F.lit(0)).alias("term"), require(n.isNotNull(), n, "value", "bad count").alias("n"))
     )
 
 
 def count_rejects(lines: DataFrame) -> DataFrame:
     """Side-table rows that do not have exactly two fields."""
-    return _count_fields(lines).where(~_COUNT_OK).select("value")
+    return _count_fields(lines).where(F.size("fields") != 2).select("value")
 
 
 def read_centroids(lines: DataFrame) -> DataFrame:
