@@ -60,10 +60,16 @@ def test_wide_ids_and_salted_joins(corpus, mode, monkeypatch):
     monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
     records = counts.tokenized(corpus)
     vocab = pairs.vocabulary(records, mode)
-    wide = pairs.Vocabulary(vocab.rows, vocab.text_bytes, packable=False)
+    wide = pairs.Vocabulary(vocab.rows, vocab.text_bytes, packable=False, n_pairs=vocab.n_pairs)
     assert as_dict(pairs._counted(records, wide, mode, 1, 16)) == brute_force(corpus, mode)
 
 
+def test_tasks_follow_the_pairs(corpus):
+    n_pairs = pairs.vocabulary(counts.tokenized(corpus), "positional").n_pairs
+    assert n_pairs == sum(brute_force(corpus, "positional").values())
+    assert [pairs._unit_tasks(n, 8) for n in (0, 250_000, 10_000_000, 10**9, 10**15)] == [1, 3, 8, 251, 50_000]
+
+
 def test_hot_keys_are_salted(spark):
     dim = spark.createDataFrame([("hot", 900)] + [(f"k{i}", 1) for i in range(100)], "k string, n int")
     salts = skew.salt_counts(dim, "k", "n", 8).collect()
