@@ -218,8 +218,8 @@ def write_ids(
 
     schema = (
         T.StructType()
-        .add("part", "int")
-        .add("block", "int")
+        .add("part", "integer")
+        .add("block", "integer")
         .add("ids", T.ArrayType(key_type))
         .add("n_tokens", "long")
         .add("payload", "binary")

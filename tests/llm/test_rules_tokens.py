@@ -1,6 +1,5 @@
 """Quality rules, classifier, packing and token files against brute force."""
 
-import os
 import re
 import zlib
 
@@ -182,4 +181,3 @@ def test_token_files(spark, block_tokens):
         assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (key, at, len(want), crc(want))
         at += len(want)
     assert repair.token_files(frame(spark).limit(0)).count() == 0
-    assert os.environ.get("TOKENIZERS_PARALLELISM") == "false"
