@@ -26,6 +26,8 @@ _VISIBLE = np.zeros(256, dtype=bool)
 _VISIBLE[33:127] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
+_INK = _VISIBLE.copy()  # a byte that no blank character begins with
+_INK[0xC3:0xE1] = _INK[0xE4:0xF5] = True
 _MARK = _VISIBLE & ~_LETTER
 _MARK[48:58] = False
 
@@ -48,6 +50,9 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.blank_first = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.blank_first[i] = token.startswith("\u0120")
         self._reset()
 
     def _reset(self) -> None:
@@ -61,10 +66,25 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [x.ids for x in found]
 
-    def _learn(self, pieces: list[bytes]) -> None:
+    def _ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, counts)`` of distinct pieces.
+
+        Pieces that hold one blank, at their start, are encoded as one text: the
+        library cuts before each, and each one's first id is the only one whose
+        token begins with a blank.
+        """
+        joined = b"".join(pieces)
+        if joined.count(b" ") == len(pieces) and all(p[:1] == b" " for p in pieces):
+            ids = np.array(self._library([joined])[0], np.uint32)
+            starts = np.flatnonzero(self.blank_first[ids])
+            if len(starts) == len(pieces):
+                return ids, np.diff(np.append(starts, len(ids)))
         found = self._library(pieces)
         count = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum()))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum())), count
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        ids, count = self._ids_of(pieces)
         at = len(self.known)
         self.known.update(zip(pieces, range(at, at + len(pieces)), strict=True))
         while len(self.known) > len(self.first):
@@ -101,8 +121,11 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         visible = _VISIBLE[data]
         opens = np.zeros(len(data), dtype=bool)
-        opens[:-1] = (data[:-1] == 32) & visible[1:]
-        opens[1:] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+        opens[:-1] = (data[:-1] == 32) & _INK[data[1:]]
+        letter = _LETTER[data]
+        # The Latin letters of two bytes that begin with 0xC3; multiplication and division signs are none.
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        opens[1:] |= letter[:-1] & _MARK[data[1:]]
         lone = np.flatnonzero((data[1:-1] == 10) & visible[2:] & visible[:-2]) + 1
         opens[lone] = True
         opens[lone + 1] = True
@@ -122,8 +145,11 @@ class Encoder:
         if len(self.known) > _MOST_PIECES:
             self._reset()
         new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        for k in range(0, len(new), 4096):
-            self._learn(new[k : k + 4096])
+        single = [p for p in new if p[:1] == b" " and p.count(b" ") == 1]
+        other = [p for p in new if p[:1] != b" " or p.count(b" ") != 1]
+        for kind in (single, other):
+            for k in range(0, len(kind), 4096):
+                self._learn(kind[k : k + 4096])
         slot = np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))[codes]
         count = self.count[slot]
         ids = self.ids[W.ranges(self.first[slot], count)]
