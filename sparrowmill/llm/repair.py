@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.skew import BROADCAST_BYTES
 from ..session import scratch_path
 from . import words as W
 from .token_ids import BYTE_BPE, encoder, with_end
@@ -267,7 +268,8 @@ def read_ids(blocks: DataFrame, id_col: str = "doc_id") -> DataFrame:
     schema = T.StructType([T.StructField(id_col, blocks.schema["ids"].dataType.elementType)])
     for name in ("start", "n_tokens", "ids_crc32"):
         schema.add(name, "long")
-    # Two numbers a block of a million ids; the join broadcasts them only while that is small.
+    if sizes.count() * 64 <= BROADCAST_BYTES:  # a small row for each block of a million ids
+        starts = F.broadcast(starts)
     return blocks.join(starts, ["part", "block"]).select("block_start", "ids", "payload").mapInArrow(run, schema)
 
 
