@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bands, classifier, packing, repair
+from . import bands, bpe_stream, classifier, fingerprints, packing, repair, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bands.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = classifier.train(docs, _table(spark, sf_dir, "labels"))
@@ -31,9 +39,36 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op10_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_stream.encode_decode(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op5_quality_classifier, op6_token_files, op8_packing)
+    f.__name__: f
+    for f in (
+        op2_fingerprints,
+        op3_quality_rules,
+        op4_warc,
+        op5_quality_classifier,
+        op6_token_files,
+        op8_packing,
+        op10_streaming_bpe,
+    )
 }
 
 # SQL for the same rows, where SQL can express them.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_warc": """
+        WITH sized AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), digested AS (
+            SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM sized
+        ), marked AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS target FROM digested
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> target THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> target THEN target END AS refers_to
+        FROM marked
+    """,
+}
