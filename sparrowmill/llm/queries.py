@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bands, bpe_stream, classifier, fingerprints, packing, repair, warc
+from . import bands, bpe_stream, classifier, fingerprints, fmindex, jaccard, packing, pseudo, repair, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
 
@@ -35,10 +39,18 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.token_files(_table(spark, sf_dir, "documents"))
 
 
+def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo.pseudo_likelihood(_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op10_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.encode_decode(_table(spark, sf_dir, "documents"))
 
@@ -46,18 +58,47 @@ def op10_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_jaccard_join,
         op2_fingerprints,
         op3_quality_rules,
         op4_warc,
         op5_quality_classifier,
         op6_token_files,
+        op7_pseudo_likelihood,
         op8_packing,
+        op9_substring_dedup,
         op10_streaming_bpe,
     )
 }
 
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
 # SQL for the same rows, where SQL can express them.
 SQL: dict[str, str] = {
+    "op1_jaccard_join": rf"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
+            FROM documents
+        ), tokens AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS token
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM split WHERE len(ws) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id
+        ), shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+        )
+        SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.b) AS component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.a = d.doc_id
+        GROUP BY d.doc_id
+    """,
     "op4_warc": """
         WITH sized AS (
             SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
@@ -71,4 +112,24 @@ SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> target THEN target END AS refers_to
         FROM marked
     """,
+    "op9_substring_dedup": rf"""
+        WITH split AS (
+            SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents
+        ), places AS (
+            SELECT doc_id, i, array_to_string(ws[i : i + 34], ' ') AS win
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM split WHERE len(ws) >= 35)
+        ), repeated AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY win) AS n FROM places) WHERE n > 1
+        ), covered AS (
+            SELECT DISTINCT doc_id, i + j AS at FROM repeated, range(0, 35) AS t(j)
+        ), words AS (
+            SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS at FROM split
+        ), kept AS (
+            SELECT w.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY w.at) AS text
+            FROM words w ANTI JOIN covered c ON c.doc_id = w.doc_id AND c.at = w.at GROUP BY w.doc_id
+        )
+        SELECT s.doc_id, len(ws) AS n_words, len(ws) - coalesce(k.n, 0) AS n_removed,
+               sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id
+    """,
 }
