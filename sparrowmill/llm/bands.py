@@ -124,7 +124,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)])
     for name, kind in _FIELDS:
         schema.add(name, kind)
-    return docs.select(id_col, text_col).mapInArrow(judge, schema)
+    return W.bounded(docs).select(id_col, text_col).mapInArrow(judge, schema)
 
 
 def kept_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -135,4 +135,4 @@ def kept_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for part in W.slices(batches, at):
             yield part.filter(pa.array(measure(part.column(at))["kept"]))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return W.bounded(docs).mapInArrow(keep, docs.schema)

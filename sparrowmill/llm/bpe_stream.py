@@ -376,4 +376,4 @@ def encode_decode(
     if keep:
         names += ["ids", "decoded"]
         schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return W.bounded(docs).select(id_col, text_col).mapInArrow(run, schema)

@@ -144,7 +144,7 @@ def train(
         .limit(max_rows)
     )
     # At most max_rows rows of three numbers.
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(sample), "__id")
+    rows = W.bounded(docs).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(sample), "__id")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, 2):
@@ -211,7 +211,7 @@ def score(
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)]).add("held_out", "boolean")
     return (
-        docs.select(id_col, held_out(id_col).alias("held_out"), text_col)
+        W.bounded(docs).select(id_col, held_out(id_col).alias("held_out"), text_col)
         .mapInArrow(rate, schema.add("score", "double"))
         .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     )
@@ -227,4 +227,4 @@ def accepted_documents(
         for part in W.slices(batches, at):
             yield part.filter(pa.array(score_texts(model, part.column(at)) >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return W.bounded(docs).mapInArrow(keep, docs.schema)

@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.skew import sized_join
+from ..operators.skew import BROADCAST_BYTES, sized_join
 from ..session import cut_lineage
 from . import words as W
 
 SIZE = 35
 ANCHOR = 8
-SHARD_SEGMENTS = 4096  # that one shard should have
+SHARD_SEGMENTS = 3072  # about as many places has a shard
 HOT_SEGMENTS = 16_384  # an anchor at more places is resolved window by window
+FILTER_WORDS = 1 << 20  # of 64 bits
 _MARK = np.uint64(1 << 32)  # on the code of the word at which the anchor begins
 
 
@@ -61,32 +62,39 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
 
 
 class WaveletTree:
-    """Counts of a symbol before a place of a sequence, a level for each bit of the alphabet.
+    """Counts of a symbol before a place of a sequence, a level for every four bits of the alphabet.
 
-    At each level the symbols stand stably sorted by their higher bits, and a
-    running count of the zero bits leads to the next level.
+    At each level the symbols stand stably sorted by their higher digits, and
+    running counts of the sixteen digits lead to the next level.
     """
 
     def __init__(self, symbols: np.ndarray, n_symbols: int):
-        self.bits = max(1, int(n_symbols - 1).bit_length())
-        self.zeros: list[np.ndarray] = []  # of each level: zero bits before each place
+        n = len(symbols)
+        digits = max(1, -(-int(n_symbols - 1).bit_length() // 4))
+        self.shifts = [4 * k for k in range(digits - 1, -1, -1)]
+        self.next: list[np.ndarray] = []  # of each level: by digit and place, the place on the next level
         now = symbols
-        for level in range(self.bits - 1, -1, -1):
-            bit = (now >> level) & 1
-            self.zeros.append(np.concatenate([[0], np.cumsum(bit == 0)]).astype(np.int32))
-            now = np.concatenate([now[bit == 0], now[bit == 1]])
-        # Equal symbols now stand together, in the order of their reversed bits.
+        for shift in self.shifts:
+            digit = (now >> shift) & 15
+            table = np.zeros((16, n + 1), np.int32)
+            for d in range(16):
+                np.cumsum(digit == d, out=table[d, 1:], dtype=np.int32)
+            table[1:] += np.cumsum(table[:-1, -1])[:, None].astype(np.int32)
+            self.next.append(table.ravel())
+            now = now[np.argsort(digit.astype(np.uint8), kind="stable")]
+        # Equal symbols now stand together.
         head = np.flatnonzero(np.append(True, now[1:] != now[:-1]))
         self.starts = np.zeros(n_symbols, np.int32)
         self.starts[now[head]] = head
+        self.row = n + 1
 
-    def rank(self, symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """How often each symbol occurs before its place."""
-        at = places
-        for level, zeros in zip(range(self.bits - 1, -1, -1), self.zeros, strict=True):
-            below = zeros[at]
-            at = np.where((symbols >> level) & 1, zeros[-1] + at - below, below)
-        return at - self.starts[symbols]
+    def rank(self, symbols: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each symbol occurs before two places."""
+        for shift, table in zip(self.shifts, self.next, strict=True):
+            row = ((symbols >> shift) & 15) * self.row
+            low, high = table[row + low], table[row + high]
+        start = self.starts[symbols]
+        return low - start, high - start
 
 
 class FMIndex:
@@ -121,9 +129,9 @@ class FMIndex:
         high = np.full(len(ends), len(self.text), np.int32)
         for step in range(1, length + 1):
             symbol = self.text[ends[live] - step] - self.n_separators
-            both = self.tree.rank(np.concatenate([symbol, symbol]) + 1, np.concatenate([low, high]))
             base = self.smaller[symbol]
-            low, high = base + both[: len(live)], base + both[len(live) :]
+            low, high = self.tree.rank(symbol + 1, low, high)
+            low, high = base + low, base + high
             more = high - low >= 2
             if not more.all():
                 found[live[~more]] = False
@@ -132,20 +140,25 @@ class FMIndex:
                 break
         return found
 
-    def windows(self, size: int) -> np.ndarray:
-        """Of each segment: a bit for each window of ``size`` words that occurs twice or more, the first the lowest."""
+    def windows(self, size: int, asked: np.ndarray | None = None) -> np.ndarray:
+        """Of each segment: a bit for each window of ``size`` words that occurs twice or more, the first the lowest.
+
+        Segments that are not ``asked`` for are in the index but get no bits.
+        """
         counts = np.maximum(np.diff(self.first) - size, 0)  # a segment's windows; its separator is in none
+        if asked is not None:
+            counts = np.where(asked, counts, 0)
         starts = W.ranges(self.first[:-1], counts)
         of = np.repeat(np.arange(len(counts)), counts)
         place = starts - self.first[of]
         result = np.zeros(len(starts), dtype=bool)
         # A repeated run of more words settles several windows at once.
-        step = max(2, size // 4)
-        span = size + step - 1
-        lead = np.flatnonzero((place % step == 0) & (place + step <= counts[of]))
-        good = lead[self.repeated(starts[lead] + span, span)]
-        for k in range(step):
-            result[good + k] = True
+        for step in (size * 2 // 5, size // 5):
+            if step > 1:
+                lead = np.flatnonzero(~result & (place % step == 0) & (place + step <= counts[of]))
+                good = lead[self.repeated(starts[lead] + size + step - 1, size + step - 1)]
+                for k in range(step):
+                    result[good + k] = True
         rest = np.flatnonzero(~result)
         result[rest] = self.repeated(starts[rest] + size, size)
         return W.sums(result.astype(np.int64) << place, np.concatenate([[0], np.cumsum(counts)]))
@@ -160,7 +173,7 @@ def _signature(hashes: np.ndarray, first: np.ndarray) -> list[bytes | None]:
     place = W.ranges(np.zeros(len(counts), np.int64), counts).astype(np.uint64)
     out = []
     for seed in (1, 2):
-        out.append(W.sums(W.mix(W.combine(hashes, place) + np.uint64(seed) * W._M3), first))
+        out.append(W.sums(W.mix(W.combine(hashes, place) + W.salt(seed)), first))
     pair = np.column_stack(out).astype("<u8")
     return [row.tobytes() if n else None for row, n in zip(pair, counts, strict=True)]
 
@@ -186,8 +199,20 @@ def anchors(hashes: np.ndarray, first: np.ndarray, size: int, anchor: int) -> tu
     return chosen, keys[chosen]
 
 
-def _segments(docs: DataFrame, text_col: str, size: int, anchor: int, give: list[str]) -> DataFrame:
-    """The columns ``give`` of every anchor of every text.
+def _bit_filter(shared: DataFrame) -> np.ndarray:
+    """Eight megabytes of bits, in which every shared anchor has one. It holds back most others; a join follows."""
+    word = F.expr(f"shiftright(anchor, 6) & {FILTER_WORDS - 1}").alias("word")
+    bit = F.expr("shiftleft(1L, CAST(anchor & 63 AS INT))")
+    rows = shared.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(FILTER_WORDS, np.uint64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _segments(
+    docs: DataFrame, text_col: str, size: int, anchor: int, give: list[str], bits: np.ndarray
+) -> DataFrame:
+    """The columns ``give`` of the anchors of every text that pass the filter ``bits``.
 
     ``place`` is a number for the place in the distinct word sequence ``seq``,
     ``pos`` the anchor's first word, ``kind`` 128 bits of the segment and its
@@ -201,6 +226,9 @@ def _segments(docs: DataFrame, text_col: str, size: int, anchor: int, give: list
             words = W.split(part.column(0))
             hashes = words.hashes()
             at, keys = anchors(hashes, words.first, size, anchor)
+            word = bits[(keys >> np.uint64(6)) & np.uint64(FILTER_WORDS - 1)]
+            passed = (word >> (keys & np.uint64(63)) & np.uint64(1)).astype(bool)
+            at, keys = at[passed], keys[passed]
             if not len(at):
                 continue
             text = np.searchsorted(words.first, at, side="right") - 1
@@ -245,13 +273,20 @@ def _search(segments: DataFrame, shards: int, size: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            parts = []
-            for x, before in zip(rows.column(4).to_pylist(), rows.column(3).to_pylist(), strict=True):
-                codes = np.frombuffer(x, "<u4").astype(np.uint64)
-                codes[before] |= _MARK
-                parts.append(codes)
-            marks = FMIndex(parts).windows(size)
-            return pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), pa.array(marks)], ["kind", "copied", "windows"])
+            # The only kind of its anchor has nothing to match.
+            _, of, kinds = np.unique(rows.column(1).to_numpy(), return_inverse=True, return_counts=True)
+            indexed = np.flatnonzero(kinds[of] > 1)
+            copied = rows.column(3).to_numpy(zero_copy_only=False)
+            marks = np.zeros(rows.num_rows, np.int64)
+            if len(indexed):
+                some = rows.take(pa.array(indexed))
+                parts = []
+                for x, before in zip(some.column(5).to_pylist(), some.column(4).to_pylist(), strict=True):
+                    codes = np.frombuffer(x, "<u4").astype(np.uint64)
+                    codes[before] |= _MARK
+                    parts.append(codes)
+                marks[indexed] = FMIndex(parts).windows(size, ~copied[indexed])
+            return pa.RecordBatch.from_arrays([rows.column(2), rows.column(3), pa.array(marks)], ["kind", "copied", "windows"])
 
         for batch in batches:
             shard_of = batch.column(0).to_numpy()
@@ -268,7 +303,7 @@ def _search(segments: DataFrame, shards: int, size: int) -> DataFrame:
             yield flush()
 
     return (
-        segments.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "kind", "copied", "before", "segment")
+        segments.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "kind", "copied", "before", "segment")
         .repartition("shard")
         .sortWithinPartitions("shard")
         .mapInArrow(run, "kind binary, copied boolean, windows long")
@@ -282,50 +317,89 @@ def _by_window(segments: DataFrame, size: int) -> DataFrame:
     they travel, so no task holds an anchor. What is alone has nothing to match.
     """
     n_windows = (F.octet_length("segment") / 4 - size + 1).cast("int")
+    words = F.expr(f"substring(segment, at * 4 + 1, {4 * size})")
+    mark = F.expr("CAST(CAST(before - at AS STRING) AS BINARY)")
     each = (
         segments.where(n_windows > 0)
         .withColumn("at", F.explode(F.sequence(F.lit(0), n_windows - 1)))
-        .withColumn("window", F.expr(f"substring(segment, at * 4 + 1, {4 * size})"))
-        .withColumn("mark", F.col("before") - F.col("at"))
+        # 128 bits of the words and the place of the mark.
+        .select("kind", "at", F.unhex(F.md5(F.concat(words, mark))).alias("window"))
     )
     of = F.xxhash64("kind")
-    many = each.groupBy("window", "mark").agg(F.min(of).alias("one"), F.max(of).alias("two")).where("one != two")
-    hit = each.join(many.select("window", "mark"), ["window", "mark"], "left_semi")
+    many = cut_lineage(
+        each.groupBy("window").agg(F.min(of).alias("one"), F.max(of).alias("two")).where("one != two").select("window")
+    )
+    if many.count() * 48 <= BROADCAST_BYTES:
+        many = F.broadcast(many)
+    hit = each.join(many, "window", "left_semi")
     found = hit.groupBy("kind").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("windows"))
     return segments.select("kind", "copied").join(found, "kind", "left").select(
         "kind", "copied", F.coalesce("windows", F.lit(0).cast("long")).alias("windows")
     )
 
 
-def repeated_places(docs: DataFrame, text_col: str = "text", size: int = SIZE, anchor: int = ANCHOR) -> DataFrame:
-    """``(seq, starts)``: where repeated windows start in each distinct word sequence that has some.
+def _counted(docs: DataFrame, text_col: str, size: int, anchor: int) -> DataFrame:
+    """``(anchor, text, one, two, weight)``: the anchors at two places or more, and, with ``text`` the
+    word sequence and anchor 0, the texts of ``size`` words or more that occur twice or more."""
 
-    ``seq`` is 128 bits of the word sequence. Copies of whole texts do not count
-    here. ``starts`` is an array of word places.
-    """
-    if not 1 <= size - anchor + 1 <= 63:
-        raise ValueError("size must exceed anchor by 62 at most")
-    shared = cut_lineage(
-        _segments(docs, text_col, size, anchor, ["anchor", "place"])
-        .groupBy("anchor")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in W.slices(batches, 0, limit=2 << 20):
+            words = W.split(part.column(0))
+            hashes = words.hashes()
+            at, keys = anchors(hashes, words.first, size, anchor)
+            if not len(at):
+                continue
+            text = np.searchsorted(words.first, at, side="right") - 1
+            signature = _signature(hashes, words.first)
+            head = np.frombuffer(b"".join(x or bytes(16) for x in signature), "<u8")[::2]
+            place = W.combine(head[text], (at - words.first[text]).astype(np.uint64)).view(np.int64)
+            long = [x for x, n in zip(signature, words.counts.tolist(), strict=True) if n >= size]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([keys.view(np.int64), np.zeros(len(long), np.int64)])),
+                    pa.array([None] * len(at) + long, pa.binary()),
+                    pa.array(np.concatenate([place, np.zeros(len(long), np.int64)])),
+                ],
+                ["anchor", "text", "place"],
+            )
+
+    return cut_lineage(
+        docs.select(text_col)
+        .mapInArrow(run, "anchor long, text binary, place long")
+        .groupBy("anchor", "text")
         .agg(F.min("place").alias("one"), F.max("place").alias("two"), F.count(F.lit(1)).alias("weight"))
-        .where("one != two")
-        .select("anchor", "weight")
+        .where("one != two OR (text IS NOT NULL AND weight > 1)")
     )
+
+
+def repeated_places(
+    docs: DataFrame, counted: DataFrame, text_col: str = "text", size: int = SIZE, anchor: int = ANCHOR
+) -> DataFrame:
+    """``(seq, runs)``: where repeated windows start in each distinct word sequence that has some.
+
+    ``seq`` is 128 bits of the word sequence. Copies of whole texts do not count
+    here. ``runs`` is an array of ``(start, windows)``, a word place and a bit
+    for each window from there on.
+    """
+    shared = counted.where("text IS NULL AND one != two").select("anchor", "weight")
     n_shared, n_places, n_hot = shared.agg(
         F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0)), F.count(F.when(F.col("weight") > HOT_SEGMENTS, 1))
     ).first()
 
+    bits = _bit_filter(shared)
+
     def of_shared(give: list[str]) -> DataFrame:
-        rows = _segments(docs, text_col, size, anchor, ["anchor", *give])
+        rows = _segments(docs, text_col, size, anchor, ["anchor", *give], bits)
         return sized_join(rows, shared, n_shared * 24, "anchor", "weight", [give[0]])
 
     kinds = (
         of_shared(["kind", "before", "segment", "place"])
         .groupBy("anchor", "weight", "kind", "before", "segment")
         .agg(F.min("place").alias("one"), F.max("place").alias("two"))
-        .withColumn("copied", F.expr("one != two"))
+        .select("anchor", "weight", "kind", "before", "segment", F.expr("one != two").alias("copied"))
     )
+    if n_hot:
+        kinds = cut_lineage(kinds)  # read twice
     shards = max(1, -(-n_places // SHARD_SEGMENTS))
     found = _search(kinds.where(F.col("weight") <= HOT_SEGMENTS) if n_hot else kinds, shards, size)
     if n_hot:
@@ -334,14 +408,10 @@ def repeated_places(docs: DataFrame, text_col: str = "text", size: int = SIZE, a
     n_found = found.count()
     rows = of_shared(["seq", "pos", "kind", "before", "n_words"]).select("seq", "pos", "kind", "before", "n_words").distinct()
     hits = sized_join(rows, found.withColumn("weight", F.lit(1)), n_found * 64, "kind", "weight", ["seq", "pos"])
-    start = F.col("pos") - F.col("before")
-    every = F.sequence(F.lit(0), F.col("n_words") - size)
-    starts = F.transform(
-        F.filter(every, lambda k: F.col("copied") | (F.expr("windows").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), k)) != 0)),
-        lambda k: k + start,
-    )
-    # A text's repeated places: at most its own words.
-    return hits.select("seq", F.explode(starts).alias("start")).groupBy("seq").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    every = F.expr(f"shiftleft(1L, greatest(n_words - {size - 1}, 0)) - 1")
+    run = F.struct((F.col("pos") - F.col("before")).alias("start"), F.when(F.col("copied"), every).otherwise(F.col("windows")).alias("windows"))
+    # A text's anchors: some for every hundred of its own words.
+    return hits.select("seq", run.alias("run")).where("run.windows != 0").groupBy("seq").agg(F.collect_list("run").alias("runs"))
 
 
 def _with_sequence(docs: DataFrame, text_col: str) -> DataFrame:
@@ -362,37 +432,37 @@ def _with_sequence(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def removals(docs: DataFrame, text_col: str = "text", size: int = SIZE, anchor: int = ANCHOR) -> DataFrame:
-    """The rows of ``docs`` with ``__starts``, the places of repeated windows, and ``__weight``, above 1 if the
+    """The rows of ``docs`` with ``__runs``, the places of repeated windows, and ``__weight``, above 1 if the
     whole word sequence occurs in other rows too (then every window is repeated)."""
-    places = cut_lineage(repeated_places(docs, text_col, size, anchor))
+    if not 1 <= size - anchor + 1 <= 63:
+        raise ValueError("size must exceed anchor by 62 at most")
+    docs = W.bounded(docs)
+    counted = _counted(docs, text_col, size, anchor)
+    places = repeated_places(docs, counted, text_col, size, anchor)
     rows = _with_sequence(docs, text_col)
-    copies = (
-        _with_sequence(docs.select(text_col), text_col)
-        .where(F.col("__n_words") >= size)
-        .groupBy(F.col("__seq").alias("seq"))
-        .agg(F.count(F.lit(1)).alias("weight"))
-        .where("weight > 1")
-    )
+    copies = counted.where("text IS NOT NULL").select(F.col("text").alias("seq"), "weight")
     marks = cut_lineage(
         copies.join(places, "seq", "full_outer").select(
-            F.col("seq").alias("__seq"), F.coalesce("weight", F.lit(1)).alias("__weight"), F.col("starts").alias("__starts")
+            F.col("seq").alias("__seq"), F.coalesce("weight", F.lit(1)).alias("__weight"), F.col("runs").alias("__runs")
         )
     )
-    n_bytes = marks.agg(F.coalesce(F.sum(F.coalesce(F.size("__starts"), F.lit(0)) * 4 + 64), F.lit(0))).first()[0]
+    n_bytes = marks.agg(F.coalesce(F.sum(F.coalesce(F.size("__runs"), F.lit(0)) * 16 + 64), F.lit(0))).first()[0]
     spread = [c for c, kind in docs.dtypes if kind in ("bigint", "int", "string")] or ["__n_words"]
     return sized_join(rows, marks, n_bytes, "__seq", "__weight", spread, "left")
 
 
-def _cut(text: bytes, starts: list[int] | None, copied: bool, size: int) -> tuple[int, bytes]:
+def _cut(text: bytes, runs: list[dict] | None, copied: bool, size: int) -> tuple[int, bytes]:
     """``(words removed, kept words joined by one blank)``"""
     words = text.split()
     if copied and len(words) >= size:
         return len(words), b""
-    if not starts:
+    if not runs:
         return 0, b" ".join(words)
-    edge = np.zeros(len(words) + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.asarray(starts) + size, -1)
+    start = np.array([r["start"] for r in runs], np.int64)
+    bits = np.array([r["windows"] for r in runs], np.int64)
+    run, shift = np.nonzero(bits[:, None] >> np.arange(63) & 1)
+    at = start[run] + shift
+    edge = np.bincount(at, minlength=len(words) + 1) - np.bincount(at + size, minlength=len(words) + 1)
     covered = np.cumsum(edge[:-1]) > 0
     return int(covered.sum()), b" ".join([w for w, gone in zip(words, covered.tolist(), strict=True) if not gone])
 
@@ -409,8 +479,8 @@ def substring_dedup(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, 1):
-            starts, weight = part.column(3).to_pylist(), part.column(4).to_pylist()
-            cut = [_cut(t, s, (w or 1) > 1, size) for t, s, w in zip(W.texts_of(part.column(1)), starts, weight, strict=True)]
+            runs, weight = part.column(3).to_pylist(), part.column(4).to_pylist()
+            cut = [_cut(t, s, (w or 1) > 1, size) for t, s, w in zip(W.texts_of(part.column(1)), runs, weight, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), part.column(2), pa.array([c[0] for c in cut], pa.int64()),
@@ -421,20 +491,20 @@ def substring_dedup(
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)])
     schema.add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
-    return marked.select(id_col, text_col, "__n_words", "__starts", "__weight").mapInArrow(run, schema)
+    return marked.select(id_col, text_col, "__n_words", "__runs", "__weight").mapInArrow(run, schema)
 
 
 def kept_texts(docs: DataFrame, text_col: str = "text", size: int = SIZE, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` with the kept words as text. Rows from which nothing is removed stay as they are."""
     marked = removals(docs, text_col, size, anchor)
     names = docs.columns
-    at, columns = names.index(text_col), [*names, "__starts", "__weight"]
+    at, columns = names.index(text_col), [*names, "__runs", "__weight"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, at):
-            starts, weight = part.column(len(columns) - 2).to_pylist(), part.column(len(columns) - 1).to_pylist()
+            runs, weight = part.column(len(columns) - 2).to_pylist(), part.column(len(columns) - 1).to_pylist()
             texts = []
-            for text, s, w in zip(part.column(at).to_pylist(), starts, weight, strict=True):
+            for text, s, w in zip(part.column(at).to_pylist(), runs, weight, strict=True):
                 removed, kept = _cut((text or "").encode(), s, (w or 1) > 1, size)
                 texts.append(kept.decode() if removed else text)
             new = [*part.columns[:at], pa.array(texts, part.schema.field(at).type), *part.columns[at + 1 : -2]]

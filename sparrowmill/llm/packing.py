@@ -221,4 +221,4 @@ def pack(
     if keep_ids:
         names.append("ids")
         schema.add("ids", T.ArrayType(T.IntegerType()))
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return W.bounded(docs).select(id_col, text_col).mapInArrow(run, schema)

@@ -226,7 +226,7 @@ def write_ids(
         .add("payload", "binary")
     )
     (
-        docs.select(id_col, text_col)
+        W.bounded(docs).select(id_col, text_col)
         .repartitionByRange(F.col(id_col).asc_nulls_first())
         .sortWithinPartitions(F.col(id_col).asc_nulls_first(), text_col)
         .mapInArrow(run, schema)

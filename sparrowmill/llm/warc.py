@@ -154,7 +154,7 @@ def write_archives(
     back, so the html itself is never shuffled.
     """
     payload = F.coalesce(F.col(html_col), F.lit(""))
-    rows = pages.select(
+    rows = W.bounded(pages).select(
         F.col(id_col).alias("__id"),
         (F.col(url_col) if url_col else F.lit("")).cast("string").alias("__url"),
         payload.alias("__html"),

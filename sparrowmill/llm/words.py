@@ -13,8 +13,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 SLICE_ROWS = 4096
 
 _BLANK = np.zeros(256, dtype=bool)
@@ -26,6 +27,17 @@ _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np
 _LONG_SPAN = 256
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of few rows unless the session says otherwise: a row may be a long text."""
+    spark = df.sparkSession
+    if spark.conf.get(_BATCH_ROWS, None) is None:
+        spark.conf.set(_BATCH_ROWS, "1000")
+    return df
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: int | str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in order, cut so that a piece has about ``limit`` bytes of text, or one row."""
     for batch in batches:
@@ -63,6 +75,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def salt(seed: int) -> np.uint64:
+    return np.uint64(seed * int(_M3) & ((1 << 64) - 1))
+
+
 def combine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * _M3 + right)
 
@@ -71,7 +87,7 @@ def hash_spans(data: np.ndarray, start: np.ndarray, length: np.ndarray, seed: in
     """A 64-bit hash of each ``data[start : start + length]``."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     at = np.ndarray((len(data) + 1,), "<u8", padded.data, 0, (1,))
-    out = mix(length.astype(np.uint64) + np.uint64(seed) * _M3 + np.uint64(1))
+    out = mix(length.astype(np.uint64) + salt(seed) + np.uint64(1))
     out = combine(out, at[start] & _KEEP[np.minimum(length, 8)])
     rest = np.flatnonzero((length > 8) & (length <= _LONG_SPAN))
     done = 8
