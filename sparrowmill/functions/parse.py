@@ -15,7 +15,7 @@ def check_on_bad(on_bad: str) -> None:
 
 def comma_fields(line: Column | str) -> Column:
     """Comma-separated fields; empty fields at the end are dropped."""
-    return F.split(F.regexp_replace(line, ",+$", ""), ",")
+    return F.split(F.rtrim(F.col(line) if isinstance(line, str) else line, F.lit(",")), ",")
 
 
 def as_double(field: Column) -> Column:
@@ -23,7 +23,10 @@ def as_double(field: Column) -> Column:
     return field.try_cast("double")
 
 
-def require(ok: Column, value: Column, line: Column | str, what: str) -> Column:
-    """``value`` where ``ok`` holds; otherwise the job fails naming the line."""
+def require(ok: Column, line: Column | str, what: str) -> Column:
+    """A filter that lets rows pass where ``ok`` holds; any other row fails the job, which names the line.
+
+    As a filter it is kept whatever columns are read later.
+    """
     col = F.col(line) if isinstance(line, str) else line
-    return F.when(ok, value).otherwise(F.raise_error(F.concat(F.lit(f"{what}: "), col)))
+    return F.when(ok, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit(f"{what}: "), col)).cast("boolean"))

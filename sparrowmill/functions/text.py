@@ -11,6 +11,7 @@ LINE_END = r"\r\n|\n|\r"
 TOKEN_DELIMITERS = r"[ \t\n\r\f]+"
 WHITESPACE_RUN = r"[ \t\n\x0B\f\r]+"
 WHITESPACE_ONE = r"[ \t\n\x0B\f\r]"
+BLANKS = " \t\n\x0b\f\r"
 
 
 def split_lines(text: Column | str) -> Column:
@@ -28,14 +29,14 @@ def tokenize(line: Column | str) -> Column:
     return F.array_remove(F.split(line, TOKEN_DELIMITERS), "")
 
 
-def trimmed_fields(line: Column | str, delimiter: str) -> Column:
-    """Split on a regex; empty fields at the end are dropped, others kept.
+def trimmed_fields(line: Column | str, delimiter: str, blanks: str = BLANKS) -> Column:
+    """Split on a regex over the characters ``blanks``; empty fields at the end are dropped, others kept.
 
     A non-empty line made only of delimiters has no field at all, and an empty
     line has one empty field.
     """
     col = F.col(line) if isinstance(line, str) else line
-    stripped = F.regexp_replace(col, f"(?:{delimiter})+$", "")
+    stripped = F.rtrim(col, F.lit(blanks))
     return F.when((stripped == "") & (col != ""), F.array().cast("array<string>")).otherwise(
         F.split(stripped, delimiter)
     )

@@ -22,14 +22,17 @@ Features = str | list[str]
 
 
 def centroid_list(centroids: Centroids | DataFrame) -> list[tuple[int, list[float]]]:
-    """Centroids as a list in order of ``cid``."""
+    """Centroids as a list in order of ``cid``; the ``k`` rows of a DataFrame come to the driver."""
     if isinstance(centroids, DataFrame):
         rows = [
             (r[0], r[1] if isinstance(r[1], (list, tuple)) else r[1:]) for r in centroids.collect()
         ]
     else:
         rows = list(centroids)
-    return sorted((int(cid), [float(v) for v in coords]) for cid, coords in rows)
+    out = sorted((int(cid), [float(v) for v in coords]) for cid, coords in rows)
+    if len({cid for cid, _ in out}) < len(out):
+        raise ValueError("two centroids have one cid")
+    return out
 
 
 def _nearest_of_columns(features: list[str], centroids: list[tuple[int, list[float]]]) -> Column:
@@ -39,6 +42,8 @@ def _nearest_of_columns(features: list[str], centroids: list[tuple[int, list[flo
         for name, value in zip(features, coords, strict=True):
             gap = F.col(name) - F.lit(value)
             square = square + gap * gap
+        # A missing or undefined coordinate is infinitely far from every centroid.
+        square = F.when(square.isNull() | F.isnan(square), F.lit(float("inf"))).otherwise(square)
         candidates.append(F.struct(square.alias("sq_dist"), F.lit(cid).alias("cid")))
     return F.array_min(F.array(*candidates))
 
@@ -50,7 +55,8 @@ def _nearest_of_array(feature: str, centroids: list[tuple[int, list[float]]]) ->
     @F.pandas_udf("sq_dist double, cid int")
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = np.stack(batch.to_numpy()).astype(np.float64)
+            missing = np.full(len(points[0]), np.nan)
+            x = np.stack([missing if v is None else np.asarray(v, np.float64) for v in batch])
             best = np.full(len(x), np.inf)
             place = np.zeros(len(x), dtype=np.int64)
             for i, point in enumerate(points):
@@ -142,7 +148,8 @@ def kmeans_lloyd(
         else:
             centroids = centroid_list(init)
         for _ in range(iterations):
-            centroids = centroid_list(kmeans_step(kept, centroids, features))
+            if centroids:  # none are left if there are no points
+                centroids = centroid_list(kmeans_step(kept, centroids, features))
     finally:
         kept.unpersist()
     if isinstance(features, str):

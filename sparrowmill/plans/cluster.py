@@ -13,6 +13,7 @@ from ..sources.text import read_lines, read_table
 
 XY = ["x", "y"]
 K = 6
+ROUNDS = 10
 START = [(i, (10.0 * i, 10000.0 * i)) for i in range(1, K + 1)]
 
 
@@ -84,19 +85,19 @@ def kmeans_step(spark, sf_dir):
 
 
 def kmeans_lloyd(spark, sf_dir):
-    return _xy(cluster.kmeans_lloyd(points(spark, sf_dir), XY, iterations=3, init=START))
+    return _xy(cluster.kmeans_lloyd(points(spark, sf_dir), XY, iterations=ROUNDS, init=START))
 
 
 def kmeans_lloyd_embeddings(spark, sf_dir):
     return _dims(
         cluster.kmeans_lloyd(
-            embeddings(spark, sf_dir), "embedding", iterations=3, init=first_embeddings(spark, sf_dir)
+            embeddings(spark, sf_dir), "embedding", iterations=ROUNDS, init=first_embeddings(spark, sf_dir)
         )
     )
 
 
 def wssse(spark, sf_dir):
-    centroids = cluster.kmeans_lloyd(points(spark, sf_dir), XY, iterations=3, init=START)
+    centroids = cluster.kmeans_lloyd(points(spark, sf_dir), XY, iterations=ROUNDS, init=START)
     return cluster.wssse(points(spark, sf_dir), centroids, XY).select(F.round("wssse", -2).alias("wssse"))
 
 
@@ -186,9 +187,10 @@ SELECT vec_id, near.cid::INTEGER AS cid, round(sqrt(near.sq), 6) AS dist FROM ({
     "kmeans_assign_points": f"""WITH {_POINTS}, {_START}
 SELECT x, y, near.cid::INTEGER AS cid, round(sqrt(near.sq), 4) AS dist FROM ({_near('c0')})""",
     "kmeans_step": f"{_vector_steps(1)} {_DIM_ROWS} d1",
-    "kmeans_lloyd": f"{_lloyd_steps(3)} {_XY_ROWS} c3",
-    "kmeans_lloyd_embeddings": f"{_vector_steps(3)} {_DIM_ROWS} d3",
-    "wssse": f"{_lloyd_steps(3)} SELECT round(sum(near.sq), -2) AS wssse FROM ({_near('c3')})",
+    "kmeans_lloyd": f"{_lloyd_steps(ROUNDS)} {_XY_ROWS} c{ROUNDS}",
+    "kmeans_lloyd_embeddings": f"{_vector_steps(ROUNDS)} {_DIM_ROWS} d{ROUNDS}",
+    "wssse": f"{_lloyd_steps(ROUNDS)} SELECT round(sum(near.sq), -2) AS wssse FROM ({_near(f'c{ROUNDS}')})",
     "centroids_from_files": f"""{_lloyd_steps(2)}
-SELECT (row_number() OVER (ORDER BY cid) - 1)::INTEGER AS cid, round(x, 4) AS x, round(y, 4) AS y FROM c2""",
+SELECT n.place::INTEGER AS cid, round(x, 4) AS x, round(y, 4) AS y
+FROM c2 JOIN (SELECT cid, row_number() OVER (ORDER BY x, y) - 1 AS place FROM c1) n USING (cid)""",
 }

@@ -49,24 +49,40 @@ def term_frequency_record(spark, sf_dir):
 # -- pairs and PMI ----------------------------------------------------------
 
 
+def _pairs_by_left(counted: DataFrame) -> DataFrame:
+    """Per left term, sums to which every pair adds."""
+    return counted.groupBy("left").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.sum("pair_count").alias("n_together"), F.max("pair_count").alias("most")
+    )
+
+
 def cooccur_docfreq(spark, sf_dir):
-    return pairs.cooccurrence(documents(spark, sf_dir), "docfreq", min_count=20)
+    return _pairs_by_left(pairs.cooccurrence(documents(spark, sf_dir), "docfreq"))
 
 
 def cooccur_positional(spark, sf_dir):
-    return pairs.cooccurrence(documents(spark, sf_dir), "positional", min_count=50)
+    return _pairs_by_left(pairs.cooccurrence(documents(spark, sf_dir), "positional"))
+
+
+def cooccur_rows(spark, sf_dir):
+    return pairs.cooccurrence(conversations(spark, sf_dir), "docfreq")
+
+
+# The threshold is the feature here.
+def cooccur_frequent(spark, sf_dir):
+    return pairs.cooccurrence(documents(spark, sf_dir), "docfreq", min_count=20)
 
 
 def pmi_docfreq(spark, sf_dir):
-    return _rounded(pairs.pmi(documents(spark, sf_dir), "docfreq", min_count=20))
+    return _rounded(pairs.pmi(conversations(spark, sf_dir), "docfreq"))
 
 
 def pmi_positional(spark, sf_dir):
-    return _rounded(pairs.pmi(documents(spark, sf_dir), "positional", min_count=50))
+    return _rounded(pairs.pmi(conversations(spark, sf_dir), "positional"))
 
 
 def pmi_n100(spark, sf_dir):
-    return _rounded(pairs.pmi(documents(spark, sf_dir), "docfreq", n_docs=100, min_count=20))
+    return _rounded(pairs.pmi(conversations(spark, sf_dir), "docfreq", n_docs=100))
 
 
 def _by_left(pmi: DataFrame) -> DataFrame:
@@ -161,7 +177,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         word_count, doc_frequency, term_frequency, term_frequency_record,
-        cooccur_docfreq, cooccur_positional, pmi_docfreq, pmi_positional, pmi_n100,
+        cooccur_docfreq, cooccur_positional, cooccur_rows, cooccur_frequent, pmi_docfreq, pmi_positional, pmi_n100,
         pmi_docfreq_all, pmi_positional_all, pmi_stripes, stripes, stripe_segments,
         inverted_index_document, inverted_index_record, inverted_index_segments, index_rendered,
         lines_from_files, counts_from_files, pmi_from_files, count_rejects,
@@ -218,6 +234,8 @@ def _pmi_sql(mode: str, min_count: int, n: str = _ALL_LINES, lines: str = DOC_LI
 
 
 _PAIR_ROWS = ' SELECT "left", "right", pair_count FROM pairs'
+_PAIR_SUMS = """ SELECT "left", count(*) AS n_pairs, sum(pair_count)::BIGINT AS n_together, max(pair_count) AS most
+  FROM pairs GROUP BY "left" """
 _PMI_ROWS = ' SELECT "left", "right", pair_count, round(pmi, 6) AS pmi FROM pmi'
 _LEFT_ROWS = """ SELECT "left", count(*) AS n_pairs, sum(pair_count)::BIGINT AS n_together,
   round(min(pmi), 6) AS min_pmi, round(max(pmi), 6) AS max_pmi FROM pmi GROUP BY "left" """
@@ -255,11 +273,13 @@ SQL = {
     "doc_frequency": f"WITH {DOC_LINES},{_TOKENS} SELECT term, count(*) AS df FROM seen GROUP BY term",
     "term_frequency": f"WITH {DOC_LINES},{_WS_TERMS} SELECT doc, term, tf FROM document_tf",
     "term_frequency_record": f"WITH {DOC_LINES},{_WS_TERMS} SELECT doc, line_no::INTEGER AS line_no, term, tf FROM record_tf",
-    "cooccur_docfreq": _pairs_sql(_DOCFREQ, 20) + _PAIR_ROWS,
-    "cooccur_positional": _pairs_sql(_POSITIONAL, 50) + _PAIR_ROWS,
-    "pmi_docfreq": _pmi_sql(_DOCFREQ, 20) + _PMI_ROWS,
-    "pmi_positional": _pmi_sql(_POSITIONAL, 50) + _PMI_ROWS,
-    "pmi_n100": _pmi_sql(_DOCFREQ, 20, n="100") + _PMI_ROWS,
+    "cooccur_docfreq": _pairs_sql(_DOCFREQ, 1) + _PAIR_SUMS,
+    "cooccur_positional": _pairs_sql(_POSITIONAL, 1) + _PAIR_SUMS,
+    "cooccur_rows": _pairs_sql(_DOCFREQ, 1, CONV_LINES) + _PAIR_ROWS,
+    "cooccur_frequent": _pairs_sql(_DOCFREQ, 20) + _PAIR_ROWS,
+    "pmi_docfreq": _pmi_sql(_DOCFREQ, 1, lines=CONV_LINES) + _PMI_ROWS,
+    "pmi_positional": _pmi_sql(_POSITIONAL, 1, lines=CONV_LINES) + _PMI_ROWS,
+    "pmi_n100": _pmi_sql(_DOCFREQ, 1, n="100", lines=CONV_LINES) + _PMI_ROWS,
     "pmi_docfreq_all": _pmi_sql(_DOCFREQ, 1) + _LEFT_ROWS,
     "pmi_positional_all": _pmi_sql(_POSITIONAL, 1) + _LEFT_ROWS,
     "pmi_stripes": _pmi_sql(_POSITIONAL, 1, lines=CONV_LINES) + ' SELECT "left", "right", round(pmi, 6) AS pmi FROM pmi',

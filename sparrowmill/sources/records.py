@@ -7,7 +7,7 @@ gives. With ``on_bad="fail"`` a malformed line stops the job; with
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.ml.functions import array_to_vector
 
@@ -21,9 +21,8 @@ def _split(lines: DataFrame, fields: Column) -> DataFrame:
 
 def _keep(parsed: DataFrame, ok: Column, columns: dict[str, Column], on_bad: str, what: str) -> DataFrame:
     check_on_bad(on_bad)
-    if on_bad == "reject":
-        return parsed.where(ok).select(*[c.alias(n) for n, c in columns.items()])
-    return parsed.select(*[require(ok, c, "value", what).alias(n) for n, c in columns.items()])
+    kept = parsed.where(ok if on_bad == "reject" else require(ok, "value", what))
+    return kept.select(*[c.alias(n) for n, c in columns.items()])
 
 
 # -- edges ------------------------------------------------------------------
@@ -93,7 +92,8 @@ def read_counts(lines: DataFrame) -> DataFrame:
     return (
         _count_fields(lines)
         .where(F.size("fields") == 2)
-        .select(F.get("fields", F.lit(0)).alias("term"), require(n.isNotNull(), n, "value", "bad count").alias("n"))
+        .where(require(n.isNotNull(), "value", "bad count"))
+        .select(F.get("fields", F.lit(0)).alias("term"), n.alias("n"))
     )
 
 
@@ -103,14 +103,13 @@ def count_rejects(lines: DataFrame) -> DataFrame:
 
 
 def read_centroids(lines: DataFrame) -> DataFrame:
-    """``(cid, x, y)`` from saved ``x TAB y`` rows, numbered in reading order."""
+    """``(cid, x, y)`` from saved ``x TAB y`` rows, numbered in order of the coordinates."""
     parsed = lines.select(
-        F.monotonically_increasing_id().alias("cid"),
         "value",
         F.transform(trimmed_fields("value", WHITESPACE_RUN), as_double).alias("fields"),
     )
-    ok = _point_ok(2)
-    return parsed.select(
-        "cid",
-        *[require(ok, F.get("fields", F.lit(i)), "value", "bad centroid").alias(n) for i, n in enumerate("xy")],
+    found = parsed.where(require(_point_ok(2), "value", "bad centroid")).select(
+        *[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate("xy")]
     )
+    # k rows; the number does not depend on how they lie in files.
+    return found.select((F.row_number().over(Window.orderBy("x", "y")) - 1).cast("bigint").alias("cid"), "x", "y")

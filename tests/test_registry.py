@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from sparrowmill import plans
 
 SF_DIR = contract.SMOKE_DIR
 TABLES = (
@@ -12,9 +13,10 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 NAMES = [
-    "word_count", "term_frequency", "pmi_docfreq", "pmi_positional_all", "pmi_stripes", "stripe_segments",
+    "word_count", "term_frequency", "cooccur_docfreq", "cooccur_positional", "cooccur_rows", "cooccur_frequent",
+    "pmi_docfreq", "pmi_positional", "pmi_n100", "pmi_positional_all", "pmi_stripes", "stripe_segments",
     "inverted_index_segments", "index_rendered", "counts_from_files", "adjacency_distinct", "pagerank_multi",
-    "edge_rejects", "points_from_csv", "kmeans_assign", "kmeans_lloyd", "centroids_from_files",
+    "edge_rejects", "points_from_csv", "kmeans_assign", "kmeans_lloyd", "kmeans_lloyd_embeddings", "wssse", "centroids_from_files",
 ]
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -30,7 +32,8 @@ def duck():
 
 
 def test_names():
-    assert set(contract.oracle_sql()) == set(contract.queries()) - {"kmeans_ml"}
+    assert set(plans.SQL) == set(plans.QUERIES) - {"kmeans_ml"}
+    assert set(plans.QUERIES) <= set(contract.queries())
 
 
 @needs_tables

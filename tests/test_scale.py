@@ -67,7 +67,7 @@ def test_wide_ids_and_salted_joins(corpus, mode, monkeypatch):
 def test_tasks_follow_the_pairs(corpus):
     n_pairs = pairs.vocabulary(counts.tokenized(corpus), "positional").n_pairs
     assert n_pairs == sum(brute_force(corpus, "positional").values())
-    assert [pairs._unit_tasks(n, 8) for n in (0, 250_000, 10_000_000, 10**9, 10**15)] == [1, 3, 8, 251, 50_000]
+    assert [pairs._unit_tasks(n, 8) for n in (0, 250_000, 10_000_000, 10**9, 10**15)] == [1, 3, 8, 251, 250_000_001]
 
 
 def test_hot_keys_are_salted(spark):
