@@ -20,7 +20,7 @@ import public_tokenizers
 from . import words as W
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-_MOST_PIECES = 700_000  # remembered by one worker; then it starts anew
+_MOST_PIECES = 250_000  # remembered by one worker; then it starts anew
 
 _VISIBLE = np.zeros(256, dtype=bool)
 _VISIBLE[33:127] = True
