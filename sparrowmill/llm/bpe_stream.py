@@ -29,6 +29,8 @@ from . import words as W
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 _MOST_WORDS = 300_000  # remembered by one worker; then it starts anew
 _MOST_PAIRS = 1_000_000
+_MEMO_BITS = 20
+_LOCKSTEP_BYTES = 64  # words up to this length go through the transducer many at a time
 
 _CODECS: dict[str, WordBpe] = {}
 
@@ -236,6 +238,105 @@ class Transducer:
         return out
 
 
+class Lockstep:
+    """The same transducer for many short words at once, a symbol of each in every step.
+
+    A word no longer than the lookahead buffer is stable only at its end, so
+    nothing is emitted before; the states of all words are rows of arrays.
+    """
+
+    def __init__(self, merges: Merges, shown: list[str]):
+        self.m = merges
+        symbol = {c: b for b, c in enumerate(shown)} | {c + merges.suffix: 256 + b for b, c in enumerate(shown)}
+        edges, tokens, nodes = [], [-1], [(0, merges.tree)]
+        for number, node in nodes:  # grows as it is walked
+            for text, child in node.items():
+                if text == "":
+                    tokens[number] = child
+                elif text in symbol:
+                    edges.append((number << 9 | symbol[text], len(tokens)))
+                    nodes.append((len(tokens), child))
+                    tokens.append(-1)
+        edges.sort()
+        self.edge, self.child = (np.array(x, np.int64) for x in zip(*edges, strict=True))
+        self.token = np.array(tokens, np.int64)
+        self.memo_key = np.full(1 << _MEMO_BITS, -1, np.int64)  # of pairs, by a hash of the pair
+        self.memo_fits = np.zeros(1 << _MEMO_BITS, dtype=bool)
+        self.root = np.full(512, -1, np.int64)  # the first step of every token
+        self.root[self.edge[: np.searchsorted(self.edge, 512)]] = self.child[: np.searchsorted(self.edge, 512)]
+
+    def _fits(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        key = before << 32 | token
+        slot = self._slots(key)
+        out, missed = self.memo_fits[slot], np.flatnonzero(self.memo_key[slot] != key)
+        if len(missed):
+            new, place = np.unique(key[missed], return_inverse=True)
+            fits = np.array([self.m.side_by_side(k >> 32, k & 0xFFFFFFFF) for k in new.tolist()])
+            out[missed] = fits[place]
+            at = self._slots(new)
+            self.memo_key[at], self.memo_fits[at] = new, fits
+        return out
+
+    @staticmethod
+    def _slots(keys: np.ndarray) -> np.ndarray:
+        return (W.mix(keys.astype(np.uint64)) >> np.uint64(64 - _MEMO_BITS)).astype(np.int64)
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """The little-endian ids of each word; no word is empty."""
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-length, kind="stable")  # the words that are still running come first
+        length = length[order]
+        data = np.frombuffer(b"".join([words[i] for i in order.tolist()]), np.uint8).astype(np.int64)
+        first = np.cumsum(length) - length
+        data[first + length - 1] += 256
+        n, steps = len(words), int(length[0]) if len(words) else 0
+        tokens = np.full((steps + 1, n), -2, np.int64)
+        starts = np.full((steps + 1, n), -2, np.int64)
+        tokens[0] = -1
+        word, start, node = (np.zeros(0, np.int64) for _ in range(3))
+        for at in range(steps):
+            running = int(np.searchsorted(-length, -at, side="left"))
+            symbol = data[first[:running] + at]
+            # Tokens that grow on, in ascending order of where they begin, then those that begin here.
+            old = word < running
+            word, start, node = word[old], start[old], node[old]
+            key = node << 9 | symbol[word]
+            slot = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
+            grows = self.edge[slot] == key
+            fresh = np.flatnonzero((self.root[symbol] >= 0) & (tokens[at, :running] > -2))
+            word = np.concatenate([word[grows], fresh])
+            start = np.concatenate([start[grows], np.full(len(fresh), at)])
+            node = np.concatenate([self.child[slot[grows]], self.root[symbol[fresh]]])
+            ends = np.flatnonzero(self.token[node] >= 0)
+            before, token = tokens[start[ends], word[ends]], self.token[node[ends]]
+            fits = before == -1
+            later = np.flatnonzero(before >= 0)
+            fits[later] = self._fits(before[later], token[later])
+            ends, token = ends[fits][::-1], token[fits][::-1]
+            # Of several the one that begins first stays: it is written last.
+            tokens[at + 1, word[ends]] = token
+            starts[at + 1, word[ends]] = start[ends]
+        ids, owner, ahead = [], [], length.copy()
+        live = np.arange(n)
+        while len(live):
+            ids.append(tokens[ahead[live], live])
+            owner.append(live)
+            ahead[live] = starts[ahead[live], live]
+            live = live[ahead[live] > 0]
+        if not ids:
+            return []
+        ids, owner = np.concatenate(ids)[::-1], np.concatenate(owner)[::-1]
+        by_word = np.argsort(owner, kind="stable")
+        stop = 4 * np.cumsum(np.bincount(owner, minlength=n))
+        raw = ids[by_word].astype("<u4").tobytes()
+        out = [b""] * n
+        begin = 0
+        for i, end in zip(order.tolist(), stop.tolist(), strict=True):
+            out[i] = raw[begin:end]
+            begin = end
+        return out
+
+
 class TextDecoder:
     """Bytes in, text out: holds back a started character until it is complete or broken."""
 
@@ -279,11 +380,12 @@ class WordBpe:
         self.special = regex.compile("|".join(map(regex.escape, self.added)) or r"(?!)")
         self.shown = byte_alphabet()
         self.machine = Transducer(self.m)
+        self.lockstep = Lockstep(self.m, self.shown)
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.parts: list[bytes] = []  # of each known word: its ids, little-endian
+        # Of each known word its ids, little-endian; added tokens are known by their id.
+        self.known: dict[str | int, bytes] = {i: i.to_bytes(4, "little") for i in self.added.values()}
 
     def word_ids(self, word: str) -> Iterator[int]:
         data, machine = word.encode(), self.machine
@@ -292,14 +394,14 @@ class WordBpe:
         yield from machine.feed([self.shown[data[-1]] + self.suffix])
         yield from machine.finish()
 
-    def words(self, text: str) -> Iterator[str | int]:
+    def words(self, text: str) -> list[str | int]:
         """The words of the normalised text, and the ids of added tokens between them."""
-        at = 0
+        out, at = [], 0
         for found in self.special.finditer(text):
-            yield from self._plain(text[at : found.start()])
-            yield self.added[found[0]]
+            out += self._plain(text[at : found.start()])
+            out.append(self.added[found[0]])
             at = found.end()
-        yield from self._plain(text[at:])
+        return out + self._plain(text[at:]) if out else self._plain(text[at:])
 
     def _plain(self, text: str) -> list[str]:
         # Letters are lowered one by one, so a final sigma stays an ordinary one.
@@ -307,24 +409,26 @@ class WordBpe:
 
     def encode(self, text: str) -> bytes:
         """The ids, little-endian 32-bit."""
-        known, parts, out = self.known, self.parts, []
-        for word in self.words(text):
-            if isinstance(word, int):
-                out.append(word.to_bytes(4, "little"))
-                continue
-            at = known.get(word)
-            if at is None:
-                if len(known) >= _MOST_WORDS:
-                    self._reset()
-                    known, parts = self.known, self.parts
-                ids = np.fromiter(self.word_ids(word), "<u4").tobytes()
-                if len(word) > 64:
-                    out.append(ids)
-                    continue
-                at = known[word] = len(parts)
-                parts.append(ids)
-            out.append(parts[at])
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; words that are new to this process are encoded together."""
+        if len(self.known) >= _MOST_WORDS:
+            self._reset()
+        known = self.known
+        cut = [self.words(t) for t in texts]
+        short, long = [], []
+        for word in set().union(*cut).difference(known):
+            (short if len(word.encode()) <= _LOCKSTEP_BYTES else long).append(word)
+        for at in range(0, len(short), 1 << 14):
+            part = short[at : at + (1 << 14)]
+            known.update(zip(part, self.lockstep.encode([w.encode() for w in part]), strict=True))
+        for word in long:
+            known[word] = np.fromiter(self.word_ids(word), "<u4").tobytes()
+        out = [b"".join(map(known.__getitem__, words)) for words in cut]
+        for word in long:
+            del known[word]
+        return out
 
     def decode(self, ids: bytes) -> str:
         """As a tokenizer without a decoder does it: the tokens' own strings with blanks between."""
@@ -358,7 +462,7 @@ def encode_decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(tokenizer)
         for part in W.slices(batches, 1):
-            ids = [coder.encode(t or "") for t in part.column(1).to_pylist()]
+            ids = coder.encode_all([t or "" for t in part.column(1).to_pylist()])
             decoded = [coder.decode(x) for x in ids]
             columns = [
                 part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
