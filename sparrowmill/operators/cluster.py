@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 Centroids = Sequence[tuple[int, Sequence[float]]]
 Features = str | list[str]
 
+MOST_TERMS = 64  # squares that one generated expression adds up
+
 
 def centroid_list(centroids: Centroids | DataFrame) -> list[tuple[int, list[float]]]:
     """Centroids as a list in order of ``cid``; the ``k`` rows of a DataFrame come to the driver."""
@@ -48,38 +51,52 @@ def _nearest_of_columns(features: list[str], centroids: list[tuple[int, list[flo
     return F.array_min(F.array(*candidates))
 
 
-def _nearest_of_array(feature: str, centroids: list[tuple[int, list[float]]]) -> Column:
+def _nearest_rows(x: np.ndarray, points: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Least squared distance and place of the nearest point, of each row of ``x``.
+
+    Coordinates are added in order, as the generated code for columns does it,
+    so that both give the same numbers.
+    """
+    columns = np.ascontiguousarray(x.T)
+    best, place = np.full(len(x), np.inf), np.zeros(len(x), dtype=np.int64)
+    for i, point in enumerate(points):
+        square = np.zeros(len(x))
+        for column, value in zip(columns, point, strict=True):
+            gap = column - value
+            square += gap * gap
+        closer = square < best
+        best[closer] = square[closer]
+        place[closer] = i
+    return best, place
+
+
+def _nearest_of_array(feature: Column, centroids: list[tuple[int, list[float]]]) -> Column:
     ids = np.array([cid for cid, _ in centroids], dtype=np.int32)
     points = [np.array(coords) for _, coords in centroids]
 
     @F.pandas_udf("sq_dist double, cid int")
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        missing = np.full(len(points[0]), np.nan)
         for batch in batches:
-            missing = np.full(len(points[0]), np.nan)
-            x = np.stack([missing if v is None else np.asarray(v, np.float64) for v in batch])
-            best = np.full(len(x), np.inf)
-            place = np.zeros(len(x), dtype=np.int64)
-            for i, point in enumerate(points):
-                gap = x - point
-                square = np.einsum("ij,ij->i", gap, gap)
-                closer = square < best
-                best[closer] = square[closer]
-                place[closer] = i
+            rows = [missing if v is None else np.asarray(v, np.float64) for v in batch]
+            best, place = _nearest_rows(np.array(rows).reshape(-1, len(missing)), points)
             yield pd.DataFrame({"sq_dist": best, "cid": ids[place]})
 
-    return nearest(F.col(feature))
+    return nearest(feature)
 
 
 def nearest(features: Features, centroids: Centroids) -> Column:
     """``STRUCT<sq_dist, cid>`` of the nearest centroid; the lowest ``cid`` wins a tie.
 
-    Number columns stay in generated code. For an array column the distances of
-    a batch of rows are taken at once in numpy, several times faster than an
-    element-wise expression over arrays.
+    Number columns stay in generated code while that is short. Otherwise, and
+    for an array column, the distances of a batch of rows are taken at once in
+    numpy, several times faster than an element-wise expression over arrays.
     """
     centroids = centroid_list(centroids)
     if isinstance(features, str):
-        return _nearest_of_array(features, centroids)
+        return _nearest_of_array(F.col(features), centroids)
+    if len(centroids) * len(features) > MOST_TERMS:
+        return _nearest_of_array(F.array(*[F.col(c).cast("double") for c in features]), centroids)
     return _nearest_of_columns(features, centroids)
 
 
@@ -113,7 +130,45 @@ def kmeans_update(assigned: DataFrame, features: Features) -> DataFrame:
 
 def kmeans_step(points: DataFrame, centroids: Centroids | DataFrame, features: Features) -> DataFrame:
     """One round: assign every point, then take the mean of each cluster."""
-    return kmeans_update(kmeans_assign(points, centroids, features), features)
+    if isinstance(features, list):
+        return kmeans_update(kmeans_assign(points, centroids, features), features)
+    total = F.sum("total") / F.sum("n")
+    return (
+        _array_sums(points, centroid_list(centroids), features)
+        .groupBy("cid", "dim")
+        .agg(F.when(F.sum("n") > 0, total).alias("mean"))
+        .groupBy("cid")
+        .agg(F.sort_array(F.collect_list(F.struct("dim", "mean"))).alias("means"))
+        .select("cid", F.col("means.mean").alias(features))
+    )
+
+
+def _array_sums(points: DataFrame, centroids: list[tuple[int, list[float]]], feature: str) -> DataFrame:
+    """``(cid, dim, total, n)`` of each task's points: the sums and counts of what is not null."""
+    ids = [cid for cid, _ in centroids]
+    coords = [np.array(c) for _, c in centroids]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, dims = len(coords), len(coords[0])
+        totals, counts, members = np.zeros((k, dims)), np.zeros((k, dims), np.int64), np.zeros(k, np.int64)
+        for batch in batches:
+            values = batch.column(0).drop_null().flatten().cast(pa.float64())
+            known = values.is_valid().to_numpy(zero_copy_only=False).reshape(-1, dims)
+            x = values.to_numpy(zero_copy_only=False).reshape(-1, dims)
+            place = _nearest_rows(x, coords)[1]
+            for i in np.unique(place):
+                mine = place == i
+                totals[i] += np.where(known[mine], x[mine], 0.0).sum(axis=0)
+                counts[i] += known[mine].sum(axis=0)
+                members[i] += mine.sum()
+        used = np.flatnonzero(members)
+        columns = [
+            pa.array(np.repeat(np.array(ids, np.int32)[used], dims)), pa.array(np.tile(np.arange(dims, dtype=np.int32), len(used))),
+            pa.array(totals[used].ravel()), pa.array(counts[used].ravel()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["cid", "dim", "total", "n"])
+
+    return points.select(feature).mapInArrow(run, "cid int, dim int, total double, n long")
 
 
 def random_centroids(spark: SparkSession, k: int, dims: int, seed: int) -> list[tuple[int, list[float]]]:

@@ -9,7 +9,7 @@ from ..functions.render import postings_text
 from ..operators import counts, index, pairs
 from ..session import scratch_path
 from ..sources import records, sinks
-from ..sources.text import corpus_lines, read_lines, read_table
+from ..sources.text import corpus_lines, read_corpus, read_lines, read_table
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +158,23 @@ def counts_from_files(spark, sf_dir):
     return records.read_counts(read_lines(spark, path))
 
 
+# The second write replaces the first.
+def tuples_from_files(spark, sf_dir):
+    path = scratch_path(spark, "tuples")
+    sinks.write_tuples(doc_frequency(spark, sf_dir), path, "term", "df")
+    sinks.write_tuples(word_count(spark, sf_dir), path, "term", "n", mode="overwrite")
+    return read_lines(spark, path).select("value")
+
+
+# File names are Spark's own, so each term's postings are added up.
+def index_from_files(spark, sf_dir):
+    path = scratch_path(spark, "corpus")
+    documents(spark, sf_dir).select(F.col("line").alias("value")).write.text(path)
+    indexed = index.inverted_index(read_corpus(spark, path))
+    counted = F.aggregate("postings", F.lit(0).cast("bigint"), lambda n, x: n + x["tf"])
+    return indexed.groupBy("term").agg(F.sum(counted).alias("n"))
+
+
 def pmi_from_files(spark, sf_dir):
     path = scratch_path(spark, "pmi")
     rendered = pairs.render_pairs(_rounded(pairs.pmi(conversations(spark, sf_dir), "docfreq")))
@@ -180,7 +197,7 @@ QUERIES = {
         cooccur_docfreq, cooccur_positional, cooccur_rows, cooccur_frequent, pmi_docfreq, pmi_positional, pmi_n100,
         pmi_docfreq_all, pmi_positional_all, pmi_stripes, stripes, stripe_segments,
         inverted_index_document, inverted_index_record, inverted_index_segments, index_rendered,
-        lines_from_files, counts_from_files, pmi_from_files, count_rejects,
+        lines_from_files, counts_from_files, tuples_from_files, index_from_files, pmi_from_files, count_rejects,
     )
 }
 
@@ -295,6 +312,9 @@ SQL = {
     + _index_sql(_WS_TERMS, "record_tf", "posting", 100_000) + ")",
     "lines_from_files": f"WITH {DOC_LINES} SELECT line AS \"value\", count(*) AS n FROM lines GROUP BY line",
     "counts_from_files": f"WITH {DOC_LINES},{_TOKENS} SELECT term, count(*) AS n FROM words GROUP BY term",
+    "tuples_from_files": f"""WITH {DOC_LINES},{_TOKENS}
+SELECT '(' || term || ',' || count(*) || ')' AS "value" FROM words GROUP BY term""",
+    "index_from_files": f"""WITH {DOC_LINES},{_WS_TERMS} SELECT term, sum(tf)::BIGINT AS n FROM document_tf GROUP BY term""",
     "pmi_from_files": _pmi_sql(_DOCFREQ, 1, lines=CONV_LINES)
     + """ SELECT '(' || "left" || ',' || "right" || ')' AS pair, round(pmi, 6) AS pmi FROM pmi""",
     "count_rejects": rf"""WITH {DOC_LINES}

@@ -72,6 +72,23 @@ def test_random_start(points, spark):
     assert 1 <= cluster.kmeans_lloyd(points, XY).count() <= 6
 
 
+def test_columns_and_arrays_agree(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0.1, 0.7), (None, 1.0), (2.0, nan), (5.3, 5.9), (9.1, None), (4.4, 5.2)]
+    points = spark.createDataFrame(rows, "x double, y double").withColumn("xy", F.array("x", "y"))
+    for k in (3, 400):  # generated code, and batches of rows
+        start = [(i, (i * 0.37, i * 0.11)) for i in range(k)]
+        by_columns = cluster.kmeans_assign(points, start, XY).orderBy("cid", "dist").collect()
+        by_array = cluster.kmeans_assign(points, start, "xy").orderBy("cid", "dist").collect()
+        assert [(r.cid, r.dist) for r in by_columns] == [(r.cid, r.dist) for r in by_array]
+        assert sum(r.dist == inf for r in by_columns) == 3
+        means = {r.cid: repr([r.x, r.y]) for r in cluster.kmeans_step(points, start, XY).collect()}
+        assert means == {r.cid: repr(r.xy) for r in cluster.kmeans_step(points, start, "xy").collect()}
+    empty = points.limit(0)
+    assert cluster.kmeans_step(empty, start, "xy").count() == 0
+    assert cluster.kmeans_lloyd(empty, "xy", init=start).count() == 0
+
+
 def test_ml_finds_planted_clusters(spark):
     rng = np.random.default_rng(0)
     centers = [[0.0, 0.0, 0.0], [50.0, 0.0, 0.0], [0.0, 50.0, 50.0]]

@@ -15,7 +15,8 @@ TABLES = (
 NAMES = [
     "word_count", "term_frequency", "cooccur_docfreq", "cooccur_positional", "cooccur_rows", "cooccur_frequent",
     "pmi_docfreq", "pmi_positional", "pmi_n100", "pmi_positional_all", "pmi_stripes", "stripe_segments",
-    "inverted_index_segments", "index_rendered", "counts_from_files", "adjacency_distinct", "pagerank_multi",
+    "inverted_index_segments", "index_rendered", "counts_from_files", "tuples_from_files", "index_from_files",
+    "vectors_from_csv", "kmeans_step", "adjacency_distinct", "pagerank_multi",
     "edge_rejects", "points_from_csv", "kmeans_assign", "kmeans_lloyd", "kmeans_lloyd_embeddings", "wssse", "centroids_from_files",
 ]
 
