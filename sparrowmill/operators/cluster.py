@@ -8,7 +8,7 @@ They are the only thing brought to the driver, ``k`` rows in each round.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -51,35 +51,39 @@ def _nearest_of_columns(features: list[str], centroids: list[tuple[int, list[flo
     return F.array_min(F.array(*candidates))
 
 
-def _nearest_rows(x: np.ndarray, points: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Least squared distance and place of the nearest point, of each row of ``x``.
+def _row_search(points: list[np.ndarray]) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """A function of rows: the least squared distance and the place of the nearest of ``points``.
 
     Coordinates are added in order, as the generated code for columns does it,
-    so that both give the same numbers.
+    so that both give the same numbers. The function is sent to workers whole.
     """
-    columns = np.ascontiguousarray(x.T)
-    best, place = np.full(len(x), np.inf), np.zeros(len(x), dtype=np.int64)
-    for i, point in enumerate(points):
-        square = np.zeros(len(x))
-        for column, value in zip(columns, point, strict=True):
-            gap = column - value
-            square += gap * gap
-        closer = square < best
-        best[closer] = square[closer]
-        place[closer] = i
-    return best, place
+
+    def search(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        columns = np.ascontiguousarray(x.T)
+        best, place = np.full(len(x), np.inf), np.zeros(len(x), dtype=np.int64)
+        for i, point in enumerate(points):
+            square = np.zeros(len(x))
+            for column, value in zip(columns, point, strict=True):
+                gap = column - value
+                square += gap * gap
+            closer = square < best
+            best[closer] = square[closer]
+            place[closer] = i
+        return best, place
+
+    return search
 
 
 def _nearest_of_array(feature: Column, centroids: list[tuple[int, list[float]]]) -> Column:
     ids = np.array([cid for cid, _ in centroids], dtype=np.int32)
-    points = [np.array(coords) for _, coords in centroids]
+    search, dims = _row_search([np.array(coords) for _, coords in centroids]), len(centroids[0][1])
 
     @F.pandas_udf("sq_dist double, cid int")
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        missing = np.full(len(points[0]), np.nan)
+        missing = np.full(dims, np.nan)
         for batch in batches:
             rows = [missing if v is None else np.asarray(v, np.float64) for v in batch]
-            best, place = _nearest_rows(np.array(rows).reshape(-1, len(missing)), points)
+            best, place = search(np.array(rows).reshape(-1, dims))
             yield pd.DataFrame({"sq_dist": best, "cid": ids[place]})
 
     return nearest(feature)
@@ -146,16 +150,15 @@ def kmeans_step(points: DataFrame, centroids: Centroids | DataFrame, features: F
 def _array_sums(points: DataFrame, centroids: list[tuple[int, list[float]]], feature: str) -> DataFrame:
     """``(cid, dim, total, n)`` of each task's points: the sums and counts of what is not null."""
     ids = [cid for cid, _ in centroids]
-    coords = [np.array(c) for _, c in centroids]
+    search, k, dims = _row_search([np.array(c) for _, c in centroids]), len(centroids), len(centroids[0][1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, dims = len(coords), len(coords[0])
         totals, counts, members = np.zeros((k, dims)), np.zeros((k, dims), np.int64), np.zeros(k, np.int64)
         for batch in batches:
             values = batch.column(0).drop_null().flatten().cast(pa.float64())
             known = values.is_valid().to_numpy(zero_copy_only=False).reshape(-1, dims)
             x = values.to_numpy(zero_copy_only=False).reshape(-1, dims)
-            place = _nearest_rows(x, coords)[1]
+            place = search(x)[1]
             for i in np.unique(place):
                 mine = place == i
                 totals[i] += np.where(known[mine], x[mine], 0.0).sum(axis=0)
