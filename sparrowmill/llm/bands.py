@@ -23,9 +23,15 @@ MIN_WORDS = 50
 LEVEL = 3
 
 # (bytes up to, least ratio, greatest ratio); the last holds for everything longer.
-BANDS = ((128, 0.0, 4.0), (512, 1.05, 3.0), (2048, 1.2, 3.5), (8192, 1.35, 4.0), (1 << 62, 1.45, 5.0))
+# Words of random letters reach 1.53 at 512 bytes, 1.63 at 1 kB, 1.66 at 1.5 kB, 1.72 at 8 kB and 1.73 beyond; the
+# least of sf0.1 is 1.34 up to 384 bytes, 1.41 to 512, 1.43 to 768, 1.57 to 1 kB, 1.69 to 1.5 kB, 1.84 to 2 kB, 1.92 to
+# 8 kB and 2.21 beyond. Up to 1 kB the two overlap, and the limits keep out only noise of more symbols than 26.
+BANDS = (
+    (128, 0.0, 4.0), (256, 1.05, 3.0), (384, 1.25, 2.6), (512, 1.3, 2.6), (768, 1.35, 2.6), (1024, 1.5, 2.6),
+    (1536, 1.67, 2.8), (2048, 1.75, 2.8), (8192, 1.8, 3.0), (1 << 62, 2.0, 3.5),
+)
 # The greatest share of chunks outside the band of their own length.
-BAD_CHUNKS = 0.5
+BAD_CHUNKS = 0.1
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True

@@ -65,6 +65,42 @@ def test_compression_verdicts():
     assert bands.verdict(packer, prose)[0] > 1
 
 
+def test_noise_and_half_junk():
+    packer = zstandard.ZstdCompressor(level=bands.LEVEL)
+    rng = np.random.default_rng(4)
+    lower, printable = np.arange(97, 123, dtype=np.uint8), np.arange(33, 127, dtype=np.uint8)
+    alnum = np.array([c for c in printable if chr(c).isalnum()], np.uint8)
+
+    def noise(symbols, n):
+        out = b""
+        while len(out) < n:
+            out += rng.choice(symbols, rng.integers(2, 10)).tobytes() + b" "
+        return out[:n]
+
+    for symbols, sizes in (
+        (lower, (1200, 1500, 2000, 3000, 7000, 8500, 40_000, 100_000)),
+        (alnum, (350, 500, 700, 1000, 1500, 3000, 7000, 20_000)),
+        (printable, (350, 500, 700, 1000, 1500, 3000, 7000, 20_000)),
+    ):
+        for n in sizes:
+            assert not any(bands.verdict(packer, noise(symbols, n))[2] for _ in range(10)), (len(symbols), n)
+    # Words in proportions like those of a language: kept whole, not with repeated or random stretches.
+    vocabulary = [noise(lower, rng.integers(3, 9)) for _ in range(1500)]
+    odds = 1 / np.arange(1, 1501)
+
+    def clean(n):
+        return b" ".join(vocabulary[i] for i in rng.choice(1500, n, p=odds / odds.sum()))[:n]
+
+    for n in (3000, 6000, 8500, 12_000, 20_000, 40_000):
+        text = clean(n)
+        assert bands.verdict(packer, text)[2], (n, bands.verdict(packer, text))
+        part = 6 * n // 10
+        again = (text[:part] + b"buy this now " * n)[:n]
+        assert not bands.verdict(packer, again)[2], (n, bands.verdict(packer, again))
+        if n >= 12_000:
+            assert not bands.verdict(packer, text[:part] + noise(alnum, n - part))[2], n
+
+
 def labelled(spark, n=400):
     good = ["the tree of the river was in a field with stones", "she went to the market and bought some bread"]
     bad = ["BUY!! NOW!! THE!! BEST!! DEAL!!", "win### cash*** now$$$ click%%% here&&&"]
