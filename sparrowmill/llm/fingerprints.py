@@ -3,7 +3,8 @@
 Every window of 64 bytes has an entropy. How often each level of entropy occurs
 over all documents ranks the windows: the rarer its level, the better a window
 tells documents apart. A window that has the best rank among its neighbours
-again and again is a feature. Features go into Bloom filters of 2048 bits, 160
+again and again is a feature. A text without such a window has the hashes of all
+its shorter windows instead, or of itself. Features go into Bloom filters of 2048 bits, 160
 to a filter, and two chains of filters are compared by the overlap of their
 bits above what chance would give.
 """
@@ -29,6 +30,8 @@ LEVELS = 512
 BITS = 2048
 PER_FILTER = 160
 HASHES = 5
+SHORT = 8  # bytes of a window of a text without features
+LEAST = 64  # features that such a text has
 FEW = 16  # a last filter with fewer features is not compared if there is another
 _LANE = 512
 # c log2 c in whole numbers, so that sums do not depend on their order.
@@ -120,17 +123,34 @@ def features(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> tuple[
     return place, np.searchsorted(offsets, place, side="right") - 1
 
 
+def _short_features(data: np.ndarray) -> np.ndarray:
+    size = min(SHORT, len(data))
+    place = np.arange(len(data) - size + 1)
+    found = np.unique(W.hash_spans(data, place, np.full(len(place), size)))[:PER_FILTER]
+    # A few bits would be met by chance in a full filter: few windows count several times, under other hashes.
+    return np.concatenate([found, *(W.combine(found, np.full(len(found), k, np.uint64)) for k in range(1, -(-LEAST // len(found))))])
+
+
 def fingerprints(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
     """The chain of filters of each text: an array of bits with a row per filter, and its feature counts.
 
-    A text too short for a feature has no filter.
+    A text without features, for being short or uniform, has its windows of
+    ``SHORT`` bytes, at most ``PER_FILTER`` of them, those of the least hashes; a shorter
+    one is a feature itself. Only an empty text has no filter.
     """
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
     data = np.frombuffer(b"".join(texts), np.uint8)
     place, text = features(data, offsets, ranks)
-    if not len(place):
-        return [np.zeros((0, BITS), np.uint8) for _ in texts]
     hashes = W.hash_spans(data, place, np.full(len(place), WINDOW))
+    bare = np.flatnonzero((np.bincount(text, minlength=len(texts)) == 0) & (np.diff(offsets) > 0))
+    if len(bare):
+        more = [_short_features(data[offsets[i] : offsets[i + 1]]) for i in bare]
+        hashes = np.concatenate([hashes, *more])
+        text = np.concatenate([text, np.repeat(bare, [len(m) for m in more])])
+        order = np.argsort(text, kind="stable")
+        hashes, text = hashes[order], text[order]
+    if not len(text):
+        return [np.zeros((0, BITS), np.uint8) for _ in texts]
     # Equal windows of a text count once.
     key = W.combine(hashes, text.astype(np.uint64))
     once = np.sort(np.unique(key, return_index=True)[1])
@@ -149,8 +169,8 @@ def likeness(one: np.ndarray, two: np.ndarray) -> float:
     """How alike two chains are, 0 to 1: each filter of the shorter against its best match in the other.
 
     The overlap of two filters counts from what independent bits would share to
-    the most they could. Two chains without filters are alike, one without is
-    unlike any other.
+    the most they could. Two chains without filters, of empty texts, are alike,
+    one without is unlike any other.
     """
     if len(one) > len(two):
         one, two = two, one

@@ -91,6 +91,21 @@ def test_fingerprints_of_few(spark):
     assert fingerprints.fingerprint_documents(docs.limit(0)).count() == 0
 
 
+def test_short_texts_differ():
+    ranks = np.arange(fingerprints.LEVELS)
+    texts = [prose(20 + i, 100)[:n] for i, n in enumerate([1, 3, 8, 20, 40, 64, 80, 94, 105, 105])] + ["z" * 3000, "y" * 400]
+    chains = fingerprints.fingerprints([t.encode() for t in [*texts, texts[8], ""]], ranks)
+    assert all(len(c) for c in chains[:-1]) and not len(chains[-1])
+    assert np.array_equal(chains[8], chains[-2])
+    for i in range(len(texts)):
+        for j in range(i):
+            assert fingerprints.likeness(chains[i], chains[j]) < 0.3, (i, j)
+    # An edit of a third shows, and leaves a likeness.
+    one, two = texts[8], fingerprints.edited_text(texts[8], texts[9])
+    edited = fingerprints.likeness(*fingerprints.fingerprints([one.encode(), two.encode()], ranks))
+    assert 0.3 < edited < 0.95
+
+
 def test_archives(spark):
     big, other = "<p>" + prose(10, 400) + "</p>", "ü" * 600
     rows = [
