@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bands, bpe_stream, classifier, fingerprints, fmindex, jaccard, packing, pseudo, repair, warc
+from . import (
+    bands, bpe_stream, classifier, cover_codes, fingerprints, fmindex, hard_negatives, jaccard, packing, pseudo, repair, warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +58,16 @@ def op10_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.encode_decode(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(
+        _table(spark, sf_dir, "embeddings"), label=hard_negatives.planted_labels(), is_anchor=F.col("vec_id") % 50 == 0
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,11 +81,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_substring_dedup,
         op10_streaming_bpe,
+        op12_hard_negatives,
+        op13_vector_codes,
     )
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+_WHOLE = """kept AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        )"""
+
+
+def _codes_sql(parts: int, entries: int, rounds: int) -> str:
+    """Assignments and codebooks by brute force, a pair of tables for each round."""
+    gap = "list_sum(list_transform(list_zip(c.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    steps = [
+        f"WITH {_WHOLE}",
+        f"""cut AS MATERIALIZED (
+            SELECT n, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS x
+            FROM (SELECT v, row_number() OVER (ORDER BY vec_id, v) AS n FROM kept), range({parts}) AS t(p)
+        ), b0 AS MATERIALIZED (SELECT p, n - 1 AS e, x FROM cut WHERE n <= {entries})""",
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+            SELECT n, p, any_value(x) AS x, min(gap).e AS e, min(gap).d AS d
+            FROM (SELECT c.n, c.p, c.x, {{'d': {gap}, 'e': b.e}} AS gap FROM cut c JOIN b{k} b ON b.p = c.p) GROUP BY n, p
+        )""")
+        if k < rounds:
+            steps.append(f"""mean{k} AS (
+            SELECT p, e, list(m ORDER BY i) AS x FROM (
+                SELECT p, e, i, floor(sum(y) / count(*))::BIGINT AS m
+                FROM (SELECT p, e, unnest(range(len(x))) AS i, unnest(x) AS y FROM near{k}) GROUP BY p, e, i
+            ) GROUP BY p, e
+        ), b{k + 1} AS MATERIALIZED (
+            SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM b{k} b LEFT JOIN mean{k} m ON m.p = b.p AND m.e = b.e
+        )""")
+    last = f"near{rounds}"
+    return ",\n".join(steps) + f""", coded AS (
+            SELECT n, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM {last} GROUP BY n
+        ), books AS (
+            SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}
+        ), named AS (
+            SELECT vec_id, label, code, error
+            FROM coded JOIN (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, v) AS n FROM kept) USING (n)
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+        FROM named, books
+    """
+
+
 # SQL for the same rows, where SQL can express them.
 SQL: dict[str, str] = {
     "op1_jaccard_join": rf"""
@@ -132,4 +192,24 @@ SQL: dict[str, str] = {
                sha256(coalesce(k.text, '')) AS kept_sha256
         FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id
     """,
+    "op12_hard_negatives": f"""
+        WITH {_WHOLE}, labelled AS MATERIALIZED (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v
+            FROM kept WHERE vec_id IS NOT NULL AND label IS NOT NULL
+        ), scored AS MATERIALIZED (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
+                   list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+            FROM labelled a JOIN labelled b ON a.vec_id % 50 = 0
+        ), positives AS (
+            SELECT anchor_id, id, score FROM scored WHERE alike AND id <> anchor_id
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT p.anchor_id, p.id AS positive_id,
+               (row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id))::INTEGER AS rank,
+               n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike
+        WHERE 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        QUALIFY rank <= 3
+    """,
+    "op13_vector_codes": _codes_sql(16, 64, 2),
 }
