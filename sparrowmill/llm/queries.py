@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bands, bpe_stream, classifier, cover_codes, fingerprints, fmindex, hard_negatives, jaccard, packing, pseudo, repair, warc,
+    bands, bpe_stream, classifier, cover_codes, fingerprints, fmindex, hard_negatives, jaccard, packing, pseudo, repair,
+    suffix_dedup, warc,
 )
 
 
@@ -58,6 +59,10 @@ def op10_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.encode_decode(_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(
         _table(spark, sf_dir, "embeddings"), label=hard_negatives.planted_labels(), is_anchor=F.col("vec_id") % 50 == 0
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_substring_dedup,
         op10_streaming_bpe,
+        op11_suffix_dedup,
         op12_hard_negatives,
         op13_vector_codes,
     )
