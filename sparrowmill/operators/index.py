@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.render import index_key, pair_text, postings_text
-from .counts import term_frequency
+from ..functions.text import tokenize_ws
+from .counts import exploded, term_frequency
 from .lists import LIST_SIZE, bounded_lists
 
 
@@ -44,7 +45,9 @@ def inverted_index(
     else:
         raise ValueError(f"order must be 'struct' or 'text', not {order!r}")
     repeated = "copies" if granularity == "record" else None
-    return bounded_lists(rows, "term", by, ["doc", "tf"], repeated, size).select(
+    # A term has no more postings than occurrences, which are counted without a shuffle of its documents.
+    most = exploded(corpus, tokenize_ws("line", keep_empty)).groupBy("term").agg(F.count(F.lit(1)).alias("most"))
+    return bounded_lists(rows, "term", by, ["doc", "tf"], repeated, size, most).select(
         "term", F.col("total").alias("df"), "segment", F.col("items").alias("postings")
     )
 

@@ -19,6 +19,7 @@ def bounded_lists(
     items: list[str],
     copies: str | None = None,
     size: int = LIST_SIZE,
+    most: DataFrame | None = None,
 ) -> DataFrame:
     """``(key, total, segment, items ARRAY<STRUCT>)`` with the items of each key in order.
 
@@ -27,27 +28,38 @@ def bounded_lists(
     the whole sorted list, and no task ever holds more than a segment. ``rows``
     is unique in ``(key, order, items)``; ``copies`` repeats an item.
 
-    The rows of large keys are range-partitioned on key and order, which
+    Which keys may be large is found out first: ``most``, a table ``(key, most)``
+    with no fewer than the items of each key, is cheaper than counting ``rows``,
+    which is done without it. If there are none, nothing is stored. Otherwise the
+    rows of these keys alone are, range-partitioned on key and order, which
     spreads one key over many tasks; an item's place in its list is the number
     of items in the earlier blocks of the key plus its place in its own block.
     """
     sort_by = order + [c for c in items if c not in order]
     count = F.col(copies) if copies else F.lit(1)
-    rows = cut_lineage(rows.select(key, *sort_by, count.cast("bigint").alias("copies")))
+    rows = rows.select(key, *sort_by, count.cast("bigint").alias("copies"))
+    if most is None:
+        most = rows.groupBy(key).agg(F.sum("copies").alias("most"))
 
-    totals = rows.groupBy(key).agg(F.sum("copies").alias("total"))
-    large = totals.where(F.col("total") > size)
-    large_bytes = large.agg(text_bytes(key)).first()[0]
-    if large_bytes == 0:
-        return _collect(rows, key, [], sort_by, items, copies).select(
+    def lists(of: DataFrame) -> DataFrame:
+        return _collect(of, key, [], sort_by, items, copies).select(
             key, "total", F.lit(0).cast("bigint").alias("segment"), "items"
         )
 
-    marked = sized_join(rows, large, large_bytes, key, "total", sort_by, "left")
-    small_lists = _collect(marked.where("total IS NULL").drop("total"), key, [], sort_by, items, copies).select(
-        key, "total", F.lit(0).cast("bigint").alias("segment"), "items"
-    )
-    ranked = _places(marked.where("total IS NOT NULL"), key, sort_by)
+    # At most one for every ``size`` items; stored, as they are read again.
+    suspects = most.where(F.col("most") > size).select(key, "most")
+    suspect_bytes = suspects.agg(text_bytes(key)).first()[0]
+    if suspect_bytes == 0:
+        return lists(rows)
+    suspects = cut_lineage(suspects)
+    marked = sized_join(rows, suspects, suspect_bytes, key, "most", sort_by, "left")
+    light = marked.where("most IS NULL").drop("most")
+    heavy = cut_lineage(marked.where("most IS NOT NULL").drop("most"))
+
+    totals = heavy.groupBy(key).agg(F.sum("copies").alias("total"))
+    heavy = sized_join(heavy, cut_lineage(totals), suspect_bytes, key, "total", sort_by)
+    small = heavy.where(F.col("total") <= size).drop("total")
+    ranked = _places(heavy.where(F.col("total") > size), key, sort_by)
     pieces = ranked.withColumn(
         "segment", F.explode(F.sequence(F.expr(f"start div {size}"), F.expr(f"(stop - 1) div {size}")))
     ).withColumn(
@@ -58,7 +70,7 @@ def bounded_lists(
         _collect(pieces, key, ["total", "segment"], sort_by, items, copies)
         .select(key, "total", "segment", "items")
     )
-    return small_lists.unionByName(large_lists)
+    return lists(light).unionByName(lists(small)).unionByName(large_lists)
 
 
 def _places(rows: DataFrame, key: str, sort_by: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def salt_counts(dim: DataFrame, key: str, weight: str, partitions: int) -> DataFrame:
-    """``(key_hash, salts)`` for the keys too frequent for one shuffle partition.
+    """``(__key_hash, __salts)`` for the keys too frequent for one shuffle partition.
 
     A key is hot when it holds more than ``1/partitions`` of the total weight,
     so there are fewer than ``partitions`` rows of two numbers each, whatever
@@ -24,12 +24,12 @@ def salt_counts(dim: DataFrame, key: str, weight: str, partitions: int) -> DataF
     total = dim.agg(F.sum(weight)).scalar()
     return (
         dim.select(
-            F.xxhash64(key).alias("key_hash"),
-            F.ceil(F.col(weight) * F.lit(float(partitions)) / total).cast("int").alias("salts"),
+            F.xxhash64(key).alias("__key_hash"),
+            F.ceil(F.col(weight) * F.lit(float(partitions)) / total).cast("int").alias("__salts"),
         )
-        .where("salts > 1")
-        .groupBy("key_hash")
-        .agg(F.max("salts").alias("salts"))
+        .where("__salts > 1")
+        .groupBy("__key_hash")
+        .agg(F.max("__salts").alias("__salts"))
     )
 
 
@@ -42,23 +42,24 @@ def salted_join(
     key has (or ranks them alike). Rows of a hot key are dealt over its salts
     by a hash of ``spread_by``, and the key's ``dim`` row is repeated once per
     salt. Two keys sharing a hash are merely salted alike, so the result is
-    that of the plain join. ``weight`` is kept in the result.
+    that of the plain join. ``weight`` is kept in the result. Columns that come
+    and go here begin with two underscores, apart from those of ``rows``.
     """
     hot = F.broadcast(salt_counts(dim, key, weight, shuffle_partitions(rows)))
-    n = F.coalesce("salts", F.lit(1))
+    n = F.coalesce("__salts", F.lit(1))
     salted_rows = (
-        rows.withColumn("key_hash", F.xxhash64(key))
-        .join(hot, "key_hash", "left")
-        .withColumn("salt", F.pmod(F.xxhash64(*spread_by), n).cast("int"))
-        .drop("key_hash", "salts")
+        rows.withColumn("__key_hash", F.xxhash64(key))
+        .join(hot, "__key_hash", "left")
+        .withColumn("__salt", F.pmod(F.xxhash64(*spread_by), n).cast("int"))
+        .drop("__key_hash", "__salts")
     )
     salted_dim = (
-        dim.withColumn("key_hash", F.xxhash64(key))
-        .join(hot, "key_hash", "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), n - 1)))
-        .drop("key_hash", "salts")
+        dim.withColumn("__key_hash", F.xxhash64(key))
+        .join(hot, "__key_hash", "left")
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), n - 1)))
+        .drop("__key_hash", "__salts")
     )
-    return salted_rows.join(salted_dim, [key, "salt"], how).drop("salt")
+    return salted_rows.join(salted_dim, [key, "__salt"], how).drop("__salt")
 
 
 def text_bytes(column: str) -> Column:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,18 +48,65 @@ def shared_dir(spark: SparkSession) -> str:
     else:
         folder = spark.sparkContext.getCheckpointDir()
         if folder is None:
-            if not spark.sparkContext.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
                 raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="sparrowmill-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
+    # The folder inside it that holds this application's checkpoints, and no other's.
+    files, place = _file_system(spark, spark.sparkContext.getCheckpointDir())
+    files.deleteOnExit(place)
     return folder
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """The store of ``path`` and the path in it, whatever store that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder for a table handed to a later stage."""
-    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder for a table handed to a later stage.
+
+    What lies there when the application ends is deleted then.
+    """
+    path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    files, place = _file_system(spark, path)
+    files.deleteOnExit(place.getParent())
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store it lies; one that is not there is left alone."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A path for a table that is written and read inside the block, and deleted with it, on failure too.
+
+    What is returned from the block must not read the path any more: pass it
+    through ``cut_lineage``, whose files Spark deletes once nobody refers to them.
+    """
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        drop_path(spark, path)
+
+
+@contextmanager
+def shuffled_into(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Shuffles planned inside the block have that many partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

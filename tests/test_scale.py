@@ -58,22 +58,81 @@ def test_pruning_leaves_terms_out(corpus, mode):
 @pytest.mark.parametrize("mode", MODES)
 def test_wide_ids_and_salted_joins(corpus, mode, monkeypatch):
     monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(pairs, "NARROW_TERMS", 0)
     records = counts.tokenized(corpus)
     vocab = pairs.vocabulary(records, mode)
-    wide = pairs.Vocabulary(vocab.rows, vocab.text_bytes, packable=False, n_pairs=vocab.n_pairs)
-    assert as_dict(pairs._counted(records, wide, mode, 1, 16)) == brute_force(corpus, mode)
+    assert not vocab.packable
+    assert as_dict(pairs._counted(records, vocab, mode, 1, 16)) == brute_force(corpus, mode)
+
+
+def test_terms_that_share_a_hash(spark, monkeypatch):
+    """Few bits leave collisions under most seeds; one without is found, or the wide hash is taken."""
+    terms = spark.range(12).select(F.concat(F.lit("t"), "id").alias("term"))
+    monkeypatch.setattr(pairs, "NARROW_BITS", 7)
+    seed, narrow = pairs._numbering(terms)
+    assert narrow and terms.select(pairs._term_id("term", seed, True)).distinct().count() == 12
+    assert seed > 0 or terms.select(pairs._term_id("term", 0, True)).distinct().count() == 12
+    monkeypatch.setattr(pairs, "NARROW_BITS", 3)
+    assert pairs._numbering(terms) == (0, False)
+
+
+@pytest.mark.parametrize("mode", MODES)
+def test_passes_over_the_units(corpus, mode, monkeypatch):
+    monkeypatch.setattr(pairs, "MOST_TASKS", 2)
+    monkeypatch.setattr(pairs, "PAIRS_PER_TASK", 500)
+    records = counts.tokenized(corpus)
+    vocab = pairs.vocabulary(records, mode)
+    assert pairs._tasks_and_passes(vocab.n_pairs, 8)[1] > 1
+    assert as_dict(pairs._counted(records, vocab, mode, 1, 16)) == brute_force(corpus, mode)
 
 
 def test_tasks_follow_the_pairs(corpus):
-    n_pairs = pairs.vocabulary(counts.tokenized(corpus), "positional").n_pairs
-    assert n_pairs == sum(brute_force(corpus, "positional").values())
-    assert [pairs._unit_tasks(n, 8) for n in (0, 250_000, 10_000_000, 10**9, 10**15)] == [1, 3, 8, 251, 250_000_001]
+    vocab = pairs.vocabulary(counts.tokenized(corpus), "positional")
+    assert vocab.n_pairs == sum(brute_force(corpus, "positional").values())
+    assert vocab.n_records == corpus.count()
+    asked = (0, 250_000, 10_000_000, 10**9, 10**15)
+    assert [pairs._tasks_and_passes(n, 8) for n in asked] == [(1, 1), (3, 1), (8, 1), (251, 1), (19_999, 12_501)]
+
+
+def test_short_records_do_not_move(spark):
+    """Pairs of short records reach their count without a shuffle of records, terms or units."""
+    lines = corpus_lines(spark.range(50).selectExpr("id", "concat('a b ', id, ' c') AS text"), "id", "text")
+    records = counts.tokenized(lines)
+    vocab = pairs.vocabulary(records, "docfreq")
+    plan = pairs._added(pairs._pairs_in_place(pairs._coded(records, vocab, "docfreq")), vocab, "docfreq")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
+def test_names_are_salted_by_kept_pairs(spark, monkeypatch):
+    """A term that occurs once, in a record with very many others, has many pairs and few occurrences."""
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    seen, plain = [], pairs.salted_join
+
+    def spied(rows, dim, key, weight, spread_by):
+        seen.append({r.term: r["__salts"] for r in (
+            dim.withColumnRenamed("left" if key == "l" else "right", "term")
+            .withColumn("__key_hash", F.xxhash64(key))
+            .join(skew.salt_counts(dim, key, weight, 8), "__key_hash").collect()
+        )})
+        return plain(rows, dim, key, weight, spread_by)
+
+    monkeypatch.setattr(pairs, "salted_join", spied)
+    texts = [(0, "rare " + " ".join(f"x{i}" for i in range(200)))] + [(i, "often often") for i in range(1, 300)]
+    df = corpus_lines(spark.createDataFrame(texts, "id bigint, text string"), "id", "text")
+    # Only pairs with the rare term are kept.
+    vocab = pairs.vocabulary(counts.tokenized(df), "positional")
+    kept = pairs._pair_counts(counts.tokenized(df), vocab, "positional", 512)
+    kept = kept.join(vocab.rows.where("term = 'rare'").select(F.col("id").alias("l")), "l")
+    named = pairs._named(kept, vocab, "positional")
+    assert named.count() == 200 and {r.left for r in named.collect()} == {"rare"}
+    assert seen[0] == {"rare": 8} and seen[1] == {}
 
 
 def test_hot_keys_are_salted(spark):
     dim = spark.createDataFrame([("hot", 900)] + [(f"k{i}", 1) for i in range(100)], "k string, n int")
     salts = skew.salt_counts(dim, "k", "n", 8).collect()
-    assert [r.salts for r in salts] == [8]
+    assert [r["__salts"] for r in salts] == [8]
     rows = spark.range(1000).select(
         F.when(F.col("id") < 900, "hot").otherwise(F.concat(F.lit("k"), F.col("id") - 900)).alias("k"), "id"
     )
