@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -475,7 +476,9 @@ def kmeans_ml(
     vectors: DataFrame, k: int = 6, max_iter: int = 10, seed: int = 0, features_col: str = "features",
     partitions: int | None = None,
 ) -> tuple[KMeansModel, float]:
-    """A Spark ML model with parallel initialisation, and its error sum on the input.
+    """A Spark ML model with parallel initialisation, and the error sum of its centers on the input.
+
+    (The model's own summary has the error of the round before the last means.)
 
     The initialisation draws by partition and row; the vectors are therefore
     laid out by a hash of what they hold, in sorted ``partitions`` (as many as a
@@ -490,6 +493,8 @@ def kmeans_ml(
         )
         try:
             model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col).fit(kept)
-            return model, model.summary.trainingCost
+            centers = [(i, c.tolist()) for i, c in enumerate(model.clusterCenters())]
+            arrays = kept.select(vector_to_array(features_col).alias("vector"))
+            return model, wssse(arrays, centers, "vector").first()[0]
         finally:
             kept.unpersist()

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cluster
-from ..session import scratch_path
+from ..session import cut_lineage, scratch
 from ..sources import records, sinks
 from ..sources.text import read_lines, read_table
 
 XY = ["x", "y"]
 K = 6
 ROUNDS = 10
+SEED = 1
 START = [(i, (10.0 * i, 10000.0 * i)) for i in range(1, K + 1)]
 
 
@@ -59,11 +60,14 @@ def point_rejects(spark, sf_dir):
     return records.point_rejects(_point_lines(spark, sf_dir)).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def vectors_from_csv(spark, sf_dir):
+def _vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = F.transform("embedding", lambda v: v.cast("double").cast("string"))
-    lines = embeddings(spark, sf_dir).select(F.array_join(numbers, ",").alias("value"))
+    return embeddings(spark, sf_dir).select(F.array_join(numbers, ",").alias("value"))
+
+
+def vectors_from_csv(spark, sf_dir):
     return (
-        records.read_vector_arrays(lines)
+        records.read_vector_arrays(_vector_lines(spark, sf_dir))
         .select(F.posexplode("features").alias("dim", "value"))
         .groupBy("dim")
         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
@@ -103,18 +107,29 @@ def wssse(spark, sf_dir):
 
 def centroids_from_files(spark, sf_dir):
     """One round from centroids saved as text by the round before."""
-    path = scratch_path(spark, "centroids")
-    first = cluster.kmeans_step(points(spark, sf_dir), START, XY).orderBy("cid").coalesce(1)
-    sinks.write_kv(first, path, "x", "y", mode="overwrite")
-    saved = records.read_centroids(read_lines(spark, path))
+    with scratch(spark, "centroids") as path:
+        first = cluster.kmeans_step(points(spark, sf_dir), START, XY).orderBy("cid").coalesce(1)
+        sinks.write_kv(first, path, "x", "y", mode="overwrite")
+        saved = cluster.centroid_list(records.read_centroids(read_lines(spark, path)))
     return _xy(cluster.kmeans_step(points(spark, sf_dir), saved, XY))
 
 
+def kmeans_drawn_start(spark, sf_dir):
+    """Rounds from a start drawn from the points."""
+    return _xy(cluster.kmeans_lloyd(points(spark, sf_dir), XY, K, ROUNDS, "drawn", SEED))
+
+
 def kmeans_ml(spark, sf_dir):
-    vectors = embeddings(spark, sf_dir).select(array_to_vector("embedding").alias("features"))
-    model, error = cluster.kmeans_ml(vectors, K, 10, seed=1)
-    return model.transform(vectors).groupBy(F.col("prediction").alias("cid")).agg(
-        F.count(F.lit(1)).alias("n"), F.lit(round(error, 3)).alias("wssse")
+    """How many vectors the model places, in how many clusters, and whether its error is that of its own placing."""
+    vectors = records.read_vectors(_vector_lines(spark, sf_dir))
+    model, error = cluster.kmeans_ml(vectors, K, ROUNDS, seed=SEED)
+    centers = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()])
+    center = F.element_at(centers, F.col("prediction") + 1)
+    gaps = F.zip_with(vector_to_array("features"), center, lambda a, b: (a - b) * (a - b))
+    square = F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
+    return model.transform(vectors).agg(
+        F.count("prediction").alias("n"), F.count_distinct("prediction").alias("n_clusters"),
+        (F.abs(F.sum(square) - F.lit(error)) <= 1e-9 * error).alias("error_agrees"),
     )
 
 
@@ -123,7 +138,7 @@ QUERIES = {
     for f in (
         points_from_csv, point_rejects, vectors_from_csv,
         kmeans_assign, kmeans_assign_points, kmeans_step, kmeans_lloyd, kmeans_lloyd_embeddings,
-        wssse, centroids_from_files, kmeans_ml,
+        wssse, centroids_from_files, kmeans_drawn_start, kmeans_ml,
     )
 }
 
@@ -138,8 +153,24 @@ def _near(centroids: str) -> str:
   FROM points p CROSS JOIN {centroids} c GROUP BY id, p.x, p.y"""
 
 
-def _lloyd_steps(iterations: int) -> str:
-    steps = [f"WITH {_POINTS}", _START]
+def _drawn_steps(k: int, seed: int) -> str:
+    """The start: of each turn, the point that has waited least for its squared distance from those before."""
+    steps = []
+    for turn in range(k):
+        digest = f"md5('{seed}/{turn},' || x::VARCHAR || ',' || y::VARCHAR)"
+        wait = f"-ln((('0x' || substr({digest}, 1, 13))::BIGINT::DOUBLE + 1) / {1 << 52}.0)"
+        rows = "SELECT x, y, 1.0 AS sq FROM points"
+        if turn:
+            drawn = " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(turn))
+            rows = f"""SELECT p.x, p.y, min((p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y)) AS sq
+    FROM points p, ({drawn}) c GROUP BY p.id, p.x, p.y HAVING sq > 0"""
+        steps.append(f"""s{turn} AS MATERIALIZED (
+  SELECT {turn} AS cid, x, y FROM ({rows}) ORDER BY {wait} / sq, x, y LIMIT 1)""")
+    return ",\n".join(steps) + ",\nc0 AS (" + " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(k)) + ")"
+
+
+def _lloyd_steps(iterations: int, start: str = _START) -> str:
+    steps = [f"WITH {_POINTS}", start]
     for i in range(iterations):
         steps.append(
             f"c{i + 1} AS MATERIALIZED (SELECT near.cid AS cid, avg(x) AS x, avg(y) AS y "
@@ -188,6 +219,8 @@ SELECT vec_id, near.cid::INTEGER AS cid, round(sqrt(near.sq), 6) AS dist FROM ({
 SELECT x, y, near.cid::INTEGER AS cid, round(sqrt(near.sq), 4) AS dist FROM ({_near('c0')})""",
     "kmeans_step": f"{_vector_steps(1)} {_DIM_ROWS} d1",
     "kmeans_lloyd": f"{_lloyd_steps(ROUNDS)} {_XY_ROWS} c{ROUNDS}",
+    "kmeans_drawn_start": f"{_lloyd_steps(ROUNDS, _drawn_steps(K, SEED))} {_XY_ROWS} c{ROUNDS}",
+    "kmeans_ml": f"SELECT count(*) AS n, {K}::BIGINT AS n_clusters, true AS error_agrees FROM embeddings",
     "kmeans_lloyd_embeddings": f"{_vector_steps(ROUNDS)} {_DIM_ROWS} d{ROUNDS}",
     "wssse": f"{_lloyd_steps(ROUNDS)} SELECT round(sum(near.sq), -2) AS wssse FROM ({_near(f'c{ROUNDS}')})",
     "centroids_from_files": f"""{_lloyd_steps(2)}

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.render import postings_text
+from ..functions.text import sorted_terms
 from ..operators import counts, index, pairs
-from ..session import scratch_path
+from ..session import cut_lineage, scratch
 from ..sources import records, sinks
-from ..sources.text import corpus_lines, read_corpus, read_lines, read_table
+from ..sources.text import corpus_lines, read_corpus, read_documents, read_lines, read_table
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,12 @@ def term_frequency_record(spark, sf_dir):
     return counts.term_frequency(documents(spark, sf_dir), "record")
 
 
+def record_terms(spark, sf_dir):
+    """The sorted distinct terms of each line, as one text."""
+    records = counts.tokenized(documents(spark, sf_dir))
+    return records.select("doc", "line_no", F.array_join(sorted_terms("tokens"), " ").alias("terms"))
+
+
 # -- pairs and PMI ----------------------------------------------------------
 
 
@@ -86,10 +93,11 @@ def pmi_n100(spark, sf_dir):
 
 
 def _by_left(pmi: DataFrame) -> DataFrame:
-    """Per left term, a summary of all of its pairs, so that every pair counts."""
+    """Per left term, a summary of all of its pairs: every pair adds its PMI, in whole millionths."""
     return pmi.groupBy("left").agg(
         F.count(F.lit(1)).alias("n_pairs"),
         F.sum("pair_count").alias("n_together"),
+        F.sum(F.round(F.col("pmi") * 1e6).cast("bigint")).alias("sum_pmi"),
         F.round(F.min("pmi"), 6).alias("min_pmi"),
         F.round(F.max("pmi"), 6).alias("max_pmi"),
     )
@@ -103,6 +111,10 @@ def pmi_positional_all(spark, sf_dir):
     return _by_left(pairs.pmi(documents(spark, sf_dir), "positional"))
 
 
+def pmi_n100_all(spark, sf_dir):
+    return _by_left(pairs.pmi(documents(spark, sf_dir), "docfreq", n_docs=100))
+
+
 def pmi_stripes(spark, sf_dir):
     striped = pairs.pmi_stripes(conversations(spark, sf_dir))
     return _rounded(pairs.explode_stripes(striped, "pmi"))
@@ -145,44 +157,57 @@ def index_rendered(spark, sf_dir):
 
 # -- sources and sinks ------------------------------------------------------
 
+# What is read back is stored once more before its files go.
+
 
 def lines_from_files(spark, sf_dir):
-    path = scratch_path(spark, "lines")
-    documents(spark, sf_dir).select(F.col("line").alias("value")).write.mode("overwrite").text(path)
-    return read_lines(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    with scratch(spark, "lines") as path:
+        documents(spark, sf_dir).select(F.col("line").alias("value")).write.mode("overwrite").text(path)
+        return cut_lineage(read_lines(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n")))
 
 
 def counts_from_files(spark, sf_dir):
-    path = scratch_path(spark, "counts")
-    sinks.write_kv(word_count(spark, sf_dir), path, "term", "n", mode="overwrite")
-    return records.read_counts(read_lines(spark, path))
+    with scratch(spark, "counts") as path:
+        sinks.write_kv(word_count(spark, sf_dir), path, "term", "n", mode="overwrite")
+        return cut_lineage(records.read_counts(read_lines(spark, path)))
 
 
 # The second write replaces the first.
 def tuples_from_files(spark, sf_dir):
-    path = scratch_path(spark, "tuples")
-    sinks.write_tuples(doc_frequency(spark, sf_dir), path, "term", "df")
-    sinks.write_tuples(word_count(spark, sf_dir), path, "term", "n", mode="overwrite")
-    return read_lines(spark, path).select("value")
+    with scratch(spark, "tuples") as path:
+        sinks.write_tuples(doc_frequency(spark, sf_dir), path, "term", "df")
+        sinks.write_tuples(word_count(spark, sf_dir), path, "term", "n", mode="overwrite")
+        return cut_lineage(read_lines(spark, path).select("value"))
 
 
 # File names are Spark's own, so each term's postings are added up.
 def index_from_files(spark, sf_dir):
-    path = scratch_path(spark, "corpus")
-    documents(spark, sf_dir).select(F.col("line").alias("value")).write.text(path)
-    indexed = index.inverted_index(read_corpus(spark, path))
-    counted = F.aggregate("postings", F.lit(0).cast("bigint"), lambda n, x: n + x["tf"])
-    return indexed.groupBy("term").agg(F.sum(counted).alias("n"))
+    with scratch(spark, "corpus") as path:
+        documents(spark, sf_dir).select(F.col("line").alias("value")).write.text(path)
+        indexed = index.inverted_index(read_corpus(spark, path))
+        counted = F.aggregate("postings", F.lit(0).cast("bigint"), lambda n, x: n + x["tf"])
+        return cut_lineage(indexed.groupBy("term").agg(F.sum(counted).alias("n")))
+
+
+def index_of_documents(spark, sf_dir):
+    """The postings of an index over files, with the names of the files."""
+    with scratch(spark, "documents") as path:
+        lines = documents(spark, sf_dir)
+        sinks.write_documents(lines.withColumn("doc", F.concat(F.lit("doc "), "doc", F.lit(".txt"))), path)
+        indexed = index.inverted_index(read_documents(spark, path))
+        return cut_lineage(
+            indexed.select("term", F.inline("postings")).select("term", F.col("doc").alias("file"), "tf")
+        )
 
 
 def pmi_from_files(spark, sf_dir):
-    path = scratch_path(spark, "pmi")
-    rendered = pairs.render_pairs(_rounded(pairs.pmi(conversations(spark, sf_dir), "docfreq")))
-    sinks.write_kv(rendered, path, "key", "value", mode="overwrite")
-    fields = F.split("value", "\t")
-    return read_lines(spark, path).select(
-        fields[0].alias("pair"), fields[1].cast("double").alias("pmi")
-    )
+    with scratch(spark, "pmi") as path:
+        rendered = pairs.render_pairs(_rounded(pairs.pmi(conversations(spark, sf_dir), "docfreq")))
+        sinks.write_kv(rendered, path, "key", "value", mode="overwrite")
+        fields = F.split("value", "\t")
+        return cut_lineage(
+            read_lines(spark, path).select(fields[0].alias("pair"), fields[1].cast("double").alias("pmi"))
+        )
 
 
 def count_rejects(spark, sf_dir):
@@ -193,11 +218,12 @@ def count_rejects(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        word_count, doc_frequency, term_frequency, term_frequency_record,
+        word_count, doc_frequency, term_frequency, term_frequency_record, record_terms,
         cooccur_docfreq, cooccur_positional, cooccur_rows, cooccur_frequent, pmi_docfreq, pmi_positional, pmi_n100,
-        pmi_docfreq_all, pmi_positional_all, pmi_stripes, stripes, stripe_segments,
+        pmi_docfreq_all, pmi_positional_all, pmi_n100_all, pmi_stripes, stripes, stripe_segments,
         inverted_index_document, inverted_index_record, inverted_index_segments, index_rendered,
-        lines_from_files, counts_from_files, tuples_from_files, index_from_files, pmi_from_files, count_rejects,
+        lines_from_files, counts_from_files, tuples_from_files, index_from_files, index_of_documents,
+        pmi_from_files, count_rejects,
     )
 }
 
@@ -255,6 +281,7 @@ _PAIR_SUMS = """ SELECT "left", count(*) AS n_pairs, sum(pair_count)::BIGINT AS
   FROM pairs GROUP BY "left" """
 _PMI_ROWS = ' SELECT "left", "right", pair_count, round(pmi, 6) AS pmi FROM pmi'
 _LEFT_ROWS = """ SELECT "left", count(*) AS n_pairs, sum(pair_count)::BIGINT AS n_together,
+  sum(round(pmi * 1e6)::BIGINT)::BIGINT AS sum_pmi,
   round(min(pmi), 6) AS min_pmi, round(max(pmi), 6) AS max_pmi FROM pmi GROUP BY "left" """
 
 _WS_TERMS = r"""
@@ -290,6 +317,8 @@ SQL = {
     "doc_frequency": f"WITH {DOC_LINES},{_TOKENS} SELECT term, count(*) AS df FROM seen GROUP BY term",
     "term_frequency": f"WITH {DOC_LINES},{_WS_TERMS} SELECT doc, term, tf FROM document_tf",
     "term_frequency_record": f"WITH {DOC_LINES},{_WS_TERMS} SELECT doc, line_no::INTEGER AS line_no, term, tf FROM record_tf",
+    "record_terms": f"""WITH {DOC_LINES},{_TOKENS}
+SELECT doc, line_no::INTEGER AS line_no, array_to_string(list_sort(list_distinct(tokens)), ' ') AS terms FROM records""",
     "cooccur_docfreq": _pairs_sql(_DOCFREQ, 1) + _PAIR_SUMS,
     "cooccur_positional": _pairs_sql(_POSITIONAL, 1) + _PAIR_SUMS,
     "cooccur_rows": _pairs_sql(_DOCFREQ, 1, CONV_LINES) + _PAIR_ROWS,
@@ -299,6 +328,7 @@ SQL = {
     "pmi_n100": _pmi_sql(_DOCFREQ, 1, n="100", lines=CONV_LINES) + _PMI_ROWS,
     "pmi_docfreq_all": _pmi_sql(_DOCFREQ, 1) + _LEFT_ROWS,
     "pmi_positional_all": _pmi_sql(_POSITIONAL, 1) + _LEFT_ROWS,
+    "pmi_n100_all": _pmi_sql(_DOCFREQ, 1, n="100") + _LEFT_ROWS,
     "pmi_stripes": _pmi_sql(_POSITIONAL, 1, lines=CONV_LINES) + ' SELECT "left", "right", round(pmi, 6) AS pmi FROM pmi',
     "stripes": _pairs_sql(_POSITIONAL, 1, CONV_LINES) + _PAIR_ROWS,
     "stripe_segments": _pairs_sql(_POSITIONAL, 1, CONV_LINES)
@@ -315,6 +345,8 @@ SQL = {
     "tuples_from_files": f"""WITH {DOC_LINES},{_TOKENS}
 SELECT '(' || term || ',' || count(*) || ')' AS "value" FROM words GROUP BY term""",
     "index_from_files": f"""WITH {DOC_LINES},{_WS_TERMS} SELECT term, sum(tf)::BIGINT AS n FROM document_tf GROUP BY term""",
+    "index_of_documents": f"""WITH {DOC_LINES},{_WS_TERMS}
+SELECT term, 'doc ' || doc || '.txt' AS file, tf FROM document_tf""",
     "pmi_from_files": _pmi_sql(_DOCFREQ, 1, lines=CONV_LINES)
     + """ SELECT '(' || "left" || ',' || "right" || ')' AS pair, round(pmi, 6) AS pmi FROM pmi""",
     "count_rejects": rf"""WITH {DOC_LINES}

@@ -31,6 +31,19 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The corpus that ``write_documents`` wrote: a document is known by its folder's name, however it looks.
+
+    ``line_no`` is as in ``read_corpus``.
+    """
+    named = spark.read.schema("value string, document string").text(path)
+    return named.select(
+        F.col("document").alias("doc"),
+        F.monotonically_increasing_id().alias("line_no"),
+        F.col("value").alias("line"),
+    )
+
+
 def corpus_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """A table column as a corpus: one row per line of each text.
 

@@ -1,10 +1,16 @@
 """Text sinks, side tables, the shared folder."""
 
+import gc
+import os
+import time
+
 import pytest
 
+import __spark_entry__ as contract
 from sparrowmill import session
+from sparrowmill.operators import index
 from sparrowmill.sources import records, sinks
-from sparrowmill.sources.text import read_lines, read_table
+from sparrowmill.sources.text import corpus_lines, read_documents, read_lines, read_table
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +59,48 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get(session.CHECKPOINT_DIR)
     assert session.shared_dir(spark) == folder
     assert session.scratch_path(spark, "x").startswith(folder)
+
+
+def test_documents_keep_their_names(spark, tmp_path):
+    path = str(tmp_path / "documents")
+    rows = [("a/b 1.txt", "x y\n\ny"), ("007", "y"), ("é=%", "x x")]
+    sinks.write_documents(corpus_lines(spark.createDataFrame(rows, "id string, text string"), "id", "text"), path)
+    back = read_documents(spark, path)
+    lines = {}
+    for r in back.orderBy("doc", "line_no").collect():
+        lines.setdefault(r.doc, []).append(r.line)
+    assert lines == {"a/b 1.txt": ["x y", "", "y"], "007": ["y"], "é=%": ["x x"]}
+    got = {r.term: [tuple(p) for p in r.postings] for r in index.inverted_index(back).collect()}
+    assert got == {"x": [("a/b 1.txt", 1), ("é=%", 2)], "y": [("007", 1), ("a/b 1.txt", 2)]}
+
+
+def files_under(folder):
+    return [os.path.join(d, f) for d, _, names in os.walk(folder) for f in names]
+
+
+def test_scratch_goes_on_failure_too(spark):
+    with pytest.raises(ZeroDivisionError), session.scratch(spark, "t") as path:
+        spark.range(3).write.parquet(path)
+        assert files_under(path)
+        1 / 0
+    assert not os.path.exists(path)
+    session.drop_path(spark, path)
+
+
+@pytest.mark.skipif(not os.path.isdir(contract.SMOKE_DIR), reason="no test tables")
+@pytest.mark.parametrize("name", ["index_of_documents", "tuples_from_files", "pagerank_multi", "inverted_index_segments"])
+def test_no_files_are_left(spark, name):
+    """Once nobody holds a result, nothing of the query lies in the shared folder."""
+    folder = session.shared_dir(spark)
+    before = set(files_under(folder))
+    result = contract.queries()[name](spark, contract.SMOKE_DIR)
+    assert result.count() > 0
+    del result
+    for _ in range(60):
+        gc.collect()
+        spark._jvm.System.gc()
+        left = set(files_under(folder)) - before
+        if not left:
+            break
+        time.sleep(0.5)
+    assert not left
