@@ -301,6 +301,7 @@ def _search(segments: DataFrame, shards: int, size: int) -> DataFrame:
                 held.append(batch.slice(a, b - a))
         if held:
             yield flush()
+        W.release()
 
     return (
         segments.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "kind", "copied", "before", "segment")

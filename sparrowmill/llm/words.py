@@ -7,6 +7,7 @@ few megabytes of text whatever its partition holds.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -38,6 +39,14 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
+def release() -> None:
+    """Hands memory that is free but held back by the allocators to the system: a worker outlives its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: int | str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in order, cut so that a piece has about ``limit`` bytes of text, or one row."""
     for batch in batches:
@@ -48,6 +57,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: int | str, limit: int = SLIC
             stop = min(max(stop, at + 1), at + SLICE_ROWS, batch.num_rows)
             yield batch.slice(at, stop - at)
             at = stop
+    release()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
