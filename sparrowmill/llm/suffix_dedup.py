@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.skew import sized_join
+from ..operators.skew import salted_join
 from ..session import cut_lineage
 from . import induced_sort as I
 from . import words as W
@@ -224,6 +224,7 @@ def _search(kinds: DataFrame, shards: int, size: int) -> DataFrame:
                 held.append(batch.slice(a, b - a))
         if held:
             yield flush()
+        W.release()
 
     return (
         kinds.select(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard"), "route", "copied", "n", "segment")
@@ -324,16 +325,15 @@ def repeated_strings(docs: DataFrame, counted: DataFrame, text_col: str, size: i
     filters = _bits(shared, "anchor"), _bits(shared.where(F.col("n") > HOT_PLACES), "anchor")
     rows = _placed(docs, text_col, size, anchor, *filters, None)
     if n_shared * 8 > 1 << FILTER_BITS:  # the filter lets many others pass
-        rows = sized_join(rows, shared, n_shared * 24, "anchor", "n", ["place"])
+        rows = salted_join(rows, shared, "anchor", "n", ["place"])
     kinds = (
         rows.groupBy("route", "segment")
         .agg(F.min("place").alias("one"), F.max("place").alias("two"), F.count(F.lit(1)).alias("n"))
         .select("route", "segment", F.expr("one != two").alias("copied"), "n")
     )
     found = cut_lineage(_search(kinds, max(1, -(-n_places // SHARD_PLACES)), size))
-    n_found = found.count()
     places = _placed(docs, text_col, size, anchor, *filters, _bits(found, "head")).distinct()
-    hits = sized_join(places, found.select("kind", "starts", "n"), n_found * 96, "kind", "n", ["text", "start"])
+    hits = salted_join(places, found.select("kind", "starts", "n"), "kind", "n", ["text", "start"])
     # A text's segments: one or two for every hundred of its own bytes.
     return hits.groupBy("text").agg(F.collect_list(F.struct("start", "many", "starts")).alias("runs"))
 
@@ -352,12 +352,11 @@ def marked(docs: DataFrame, text_col: str = "text", size: int = SIZE, anchor: in
             F.col("text").alias("__text"), F.coalesce("n", F.lit(1)).alias("__copies"), F.col("runs").alias("__runs")
         )
     )
-    n_bytes = marks.agg(F.coalesce(F.sum(F.coalesce(F.size("__runs"), F.lit(0)) * 48 + 64), F.lit(0))).first()[0]
     rows = docs.withColumn("__text", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
     spread = [F.col(c) for c, kind in docs.dtypes if kind in ("bigint", "int", "string")]
     # Copies of one text are told apart by their other columns, and rows alike in all of them by their place.
     rows = rows.withColumn("__spread", F.xxhash64(*spread, F.monotonically_increasing_id()))
-    return sized_join(rows, marks, n_bytes, "__text", "__copies", ["__spread"], "left").drop("__text", "__spread")
+    return salted_join(rows, marks, "__text", "__copies", ["__spread"], "left").drop("__text", "__spread")
 
 
 def removed(n: int, runs: list[dict] | None, copied: bool, size: int) -> np.ndarray:
