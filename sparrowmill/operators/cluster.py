@@ -100,7 +100,7 @@ def _row_search(points: list[np.ndarray]) -> Callable[[np.ndarray], tuple[np.nda
     columns, norms, screened = np.ascontiguousarray(centers.T), (centers * centers).sum(axis=1), len(points) >= SCREENED_FROM
     unit = 4e-15 * (centers.shape[1] + 8)  # far above the rounding of a product of that many terms
 
-    def exact(x: np.ndarray, place: np.ndarray) -> np.ndarray:
+    def exact(x: np.ndarray, place: np.ndarray | int) -> np.ndarray:
         square = np.zeros(len(x))
         for i in range(x.shape[1]):
             gap = x[:, i] - columns[i, place]
@@ -108,9 +108,10 @@ def _row_search(points: list[np.ndarray]) -> Callable[[np.ndarray], tuple[np.nda
         return square
 
     def each(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x = np.asfortranarray(x)
         best, second, place = np.full(len(x), np.inf), np.full(len(x), np.inf), np.zeros(len(x), dtype=np.int64)
         for i in range(len(centers)):
-            square = exact(x, np.full(len(x), i))
+            square = exact(x, i)
             closer = square < best
             second = np.where(closer, best, np.minimum(second, square))
             best[closer] = square[closer]
@@ -454,8 +455,13 @@ def kmeans_lloyd(
             centroids = _bounded_rounds(kept, features, centroids, iterations)
         else:
             for _ in range(iterations):
-                if centroids:  # none are left if there are no points
-                    centroids = centroid_list(kmeans_step(kept, centroids, features))
+                if not centroids:  # none are left if there are no points
+                    break
+                if isinstance(features, str):
+                    step = _means(_array_sums(kept, centroids, features), features)
+                else:
+                    step = kmeans_update(kept.select("*", nearest(features, centroids)["cid"].alias("cid")), features)
+                centroids = centroid_list(step)
     finally:
         kept.unpersist()
     if isinstance(features, str):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.render import index_key, pair_text, postings_text
-from ..functions.text import tokenize_ws
+from ..functions.text import distinct_terms, tokenize_ws
 from .counts import exploded, term_frequency
 from .lists import LIST_SIZE, bounded_lists
 
@@ -45,9 +45,11 @@ def inverted_index(
     else:
         raise ValueError(f"order must be 'struct' or 'text', not {order!r}")
     repeated = "copies" if granularity == "record" else None
-    # A term has no more postings than occurrences, which are counted without a shuffle of its documents.
-    most = exploded(corpus, tokenize_ws("line", keep_empty)).groupBy("term").agg(F.count(F.lit(1)).alias("most"))
-    return bounded_lists(rows, "term", by, ["doc", "tf"], repeated, size, most).select(
+    # A term has no more postings than lines that hold it, which are counted without a shuffle of its documents.
+    lines = exploded(corpus, distinct_terms(tokenize_ws("line", keep_empty)))
+    most = lines.groupBy("term").agg(F.count(F.lit(1)).alias("most"))
+    n_lines = corpus.count()
+    return bounded_lists(rows, "term", by, ["doc", "tf"], repeated, size, most, n_lines).select(
         "term", F.col("total").alias("df"), "segment", F.col("items").alias("postings")
     )
 

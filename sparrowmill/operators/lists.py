@@ -20,6 +20,7 @@ def bounded_lists(
     copies: str | None = None,
     size: int = LIST_SIZE,
     most: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """``(key, total, segment, items ARRAY<STRUCT>)`` with the items of each key in order.
 
@@ -30,7 +31,8 @@ def bounded_lists(
 
     Which keys may be large is found out first: ``most``, a table ``(key, most)``
     with no fewer than the items of each key, is cheaper than counting ``rows``,
-    which is done without it. If there are none, nothing is stored. Otherwise the
+    which is done without it. With ``at_most``, a number that no key exceeds, not
+    even that is needed while it is small. If there are no large keys, nothing is stored. Otherwise the
     rows of these keys alone are, range-partitioned on key and order, which
     spreads one key over many tasks; an item's place in its list is the number
     of items in the earlier blocks of the key plus its place in its own block.
@@ -38,6 +40,10 @@ def bounded_lists(
     sort_by = order + [c for c in items if c not in order]
     count = F.col(copies) if copies else F.lit(1)
     rows = rows.select(key, *sort_by, count.cast("bigint").alias("copies"))
+    if at_most is not None and at_most <= size:
+        return _collect(rows, key, [], sort_by, items, copies).select(
+            key, "total", F.lit(0).cast("bigint").alias("segment"), "items"
+        )
     if most is None:
         most = rows.groupBy(key).agg(F.sum("copies").alias("most"))
 

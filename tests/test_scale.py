@@ -69,11 +69,10 @@ def test_terms_that_share_a_hash(spark, monkeypatch):
     """Few bits leave collisions under most seeds; one without is found, or the wide hash is taken."""
     terms = spark.range(12).select(F.concat(F.lit("t"), "id").alias("term"))
     monkeypatch.setattr(pairs, "NARROW_BITS", 7)
-    seed, narrow = pairs._numbering(terms)
-    assert narrow and terms.select(pairs._term_id("term", seed, True)).distinct().count() == 12
-    assert seed > 0 or terms.select(pairs._term_id("term", 0, True)).distinct().count() == 12
+    seed, narrow = pairs._numbering(terms, 12)
+    assert narrow and terms.select(pairs._term_id("term", seed, narrow)).distinct().count() == 12
     monkeypatch.setattr(pairs, "NARROW_BITS", 3)
-    assert pairs._numbering(terms) == (0, False)
+    assert pairs._numbering(terms, 12) == (0, None)
 
 
 @pytest.mark.parametrize("mode", MODES)
