@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sparrowmill.llm import bands, classifier, fmindex, jaccard, packing
-from sparrowmill.session import scratch_path
+from sparrowmill.session import drop_path, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,8 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over ``documents``; what each stage returns is stored and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows over ``documents``.
+
+    What each stage returns is stored and read again; it is deleted once the
+    next stage is stored, and that of the last but one when the application ends.
+    """
+    docs, held = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for place, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if place == len(STAGES) - 1:
@@ -64,4 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "stage")
         out.write.parquet(path)
         docs = spark.read.parquet(path)
+        if held is not None:
+            drop_path(spark, held)
+        held = path
     return docs
