@@ -46,10 +46,12 @@ def test_points_without_numbers(spark):
     points = spark.createDataFrame(rows, "x double, y double")
     vectors = spark.createDataFrame([([x, y],) for x, y in rows] + [(None,)], "v array<double>")
     centroids = [(3, (0.0, 0.0)), (5, (1.0, 2.0))]
-    by_columns = [(r.cid, r.dist) for r in cluster.kmeans_assign(points, centroids, ["x", "y"]).collect()]
-    by_arrays = [(r.cid, r.dist) for r in cluster.kmeans_assign(vectors, centroids, "v").collect()]
-    assert by_columns == [(5, 0.0), (3, float("inf")), (3, float("inf"))]
-    assert by_arrays == [*by_columns, (3, float("inf"))]
+    for df, features in ((points, ["x", "y"]), (vectors, "v")):
+        with pytest.raises(Exception, match="a point lacks one of its 2 coordinates"):
+            cluster.kmeans_assign(df, centroids, features).collect()
+        kept = cluster.kmeans_assign(df, centroids, features, on_bad="reject").collect()
+        assert [(r.cid, r.dist) for r in kept] == [(5, 0.0)]
+        assert df.where(cluster.point_ok(features)).count() == 1
 
 
 def test_no_points(spark):
