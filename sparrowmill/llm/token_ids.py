@@ -5,12 +5,13 @@ a following punctuation mark, nor around a lone line break between two visible
 characters. A text is cut there, the distinct
 pieces of a slice are looked up or encoded with the tokenizers library, and the
 ids are laid out again. A text that holds a special token's string is encoded
-whole, since the library splits there first.
+whole, since the library splits there first. Pieces are told apart by two hashes of 64 bits.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
@@ -20,7 +21,7 @@ import public_tokenizers
 from . import words as W
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-_MOST_PIECES = 250_000  # remembered by one worker; then it starts anew
+_MOST_PIECES = 1_000_000  # remembered by one worker (about 45 MB); then it starts anew
 
 _VISIBLE = np.zeros(256, dtype=bool)
 _VISIBLE[33:127] = True
@@ -56,26 +57,27 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[bytes, int] = {}
+        # Of each known piece, in order of its hash: a second hash, and where its ids lie.
+        self.keys = np.zeros(0, np.uint64)
+        self.checks = np.zeros(0, np.uint64)
+        self.first = np.zeros(0, np.int32)
+        self.count = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 16, np.int64)
-        self.count = np.zeros(1 << 16, np.int64)
         self.used = 0
 
     def _library(self, texts: list[bytes]) -> list[list[int]]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [x.ids for x in found]
 
-    def _ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids_of(self, pieces: list[bytes], single: bool) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, counts)`` of distinct pieces.
 
-        Pieces that hold one blank, at their start, are encoded as one text: the
-        library cuts before each, and each one's first id is the only one whose
-        token begins with a blank.
+        Pieces that hold one blank, at their start (``single``), are encoded as one
+        text: the library cuts before each, and each one's first id is the only
+        one whose token begins with a blank.
         """
-        joined = b"".join(pieces)
-        if joined.count(b" ") == len(pieces) and all(p[:1] == b" " for p in pieces):
-            ids = np.array(self._library([joined])[0], np.uint32)
+        if single:
+            ids = np.array(self._library([b"".join(pieces)])[0], np.uint32)
             starts = np.flatnonzero(self.blank_first[ids])
             if len(starts) == len(pieces):
                 return ids, np.diff(np.append(starts, len(ids)))
@@ -83,18 +85,45 @@ class Encoder:
         count = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum())), count
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        ids, count = self._ids_of(pieces)
-        at = len(self.known)
-        self.known.update(zip(pieces, range(at, at + len(pieces)), strict=True))
-        while len(self.known) > len(self.first):
-            self.first, self.count = np.append(self.first, self.first), np.append(self.count, self.count)
+    def _learn(self, pieces: list[bytes], single: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes new pieces and keeps their ids: ``(first, count)`` of each."""
+        ids, count = self._ids_of(pieces, single)
         while self.used + len(ids) > len(self.ids):
-            self.ids = np.append(self.ids, self.ids)
-        self.first[at : at + len(pieces)] = self.used + np.cumsum(count) - count
-        self.count[at : at + len(pieces)] = count
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        first = self.used + np.cumsum(count) - count
         self.ids[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
+        return first, count
+
+    def _slots(
+        self, keys: np.ndarray, checks: np.ndarray, single: np.ndarray, pieces_at: Callable[[np.ndarray], list[bytes]]
+    ) -> tuple[np.ndarray, np.ndarray] | None:
+        """``(first, count)`` of the distinct pieces of these hashes, or None where two share a hash.
+
+        ``single`` tells which hold one blank, at their start. ``pieces_at`` gives
+        the bytes of the pieces at given places; it is asked for new ones alone.
+        """
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        inside = np.minimum(at, max(len(self.keys) - 1, 0))
+        known = self.keys[inside] == keys[order] if len(self.keys) else np.zeros(len(keys), dtype=bool)
+        if (self.checks[inside[known]] != checks[order[known]]).any():
+            return None
+        first, count = np.empty(len(keys), np.int32), np.empty(len(keys), np.int32)
+        first[order[known]], count[order[known]] = self.first[at[known]], self.count[at[known]]
+        new = order[~known]
+        if len(new):
+            for kind in (True, False):
+                these = new[single[new] == kind]
+                for k in range(0, len(these), 4096):
+                    part = these[k : k + 4096]
+                    first[part], count[part] = self._learn(pieces_at(part), kind)
+            at = at[~known]
+            self.keys = np.insert(self.keys, at, keys[new])
+            self.checks = np.insert(self.checks, at, checks[new])
+            self.first = np.insert(self.first, at, first[new])
+            self.count = np.insert(self.count, at, count[new])
+        return first, count
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, first)``: the ids of all texts, and where each text's begin."""
@@ -132,27 +161,31 @@ class Encoder:
         opens[offsets[:-1][np.diff(offsets) > 0]] = True
         start = np.flatnonzero(opens)
         length = np.diff(np.append(start, len(data)))
-        codes = pa.array(W.hash_spans(data, start, length)).dictionary_encode()
-        codes = codes.indices.to_numpy()
-        n_kinds = int(codes.max()) + 1
-        sample = np.empty(n_kinds, np.int64)
-        sample[codes[::-1]] = np.arange(len(codes))[::-1]
-        check = W.hash_spans(data, start, length, seed=1)
-        if (check != check[sample][codes]).any():  # two pieces of one hash
-            codes, sample = np.arange(len(codes)), np.arange(len(codes))
+        keys = W.hash_spans(data, start, length)
+        codes = pa.array(keys).dictionary_encode().indices.to_numpy()
+        newest = np.maximum.accumulate(codes)
+        sample = np.flatnonzero(np.append(True, newest[1:] != newest[:-1]))  # where each kind first stands
+        checks = W.hash_spans(data, start, length, seed=1)
         whole = data.tobytes()
-        pieces = [whole[a : a + n] for a, n in zip(start[sample].tolist(), length[sample].tolist(), strict=True)]
-        if len(self.known) > _MOST_PIECES:
+        if len(self.keys) > _MOST_PIECES:
             self._reset()
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        single = [p for p in new if p[:1] == b" " and p.count(b" ") == 1]
-        other = [p for p in new if p[:1] != b" " or p.count(b" ") != 1]
-        for kind in (single, other):
-            for k in range(0, len(kind), 4096):
-                self._learn(kind[k : k + 4096])
-        slot = np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))[codes]
-        count = self.count[slot]
-        ids = self.ids[W.ranges(self.first[slot], count)]
+        found = None
+        if not (checks != checks[sample][codes]).any():
+            low, high = start[sample], start[sample] + length[sample]
+            blanks = np.concatenate([np.zeros(1, np.int32), np.cumsum(data == 32, dtype=np.int32)])
+            found = self._slots(
+                keys[sample],
+                checks[sample],
+                (data[low] == 32) & (blanks[high] - blanks[low] == 1),
+                lambda k: [whole[a:b] for a, b in zip(low[k].tolist(), high[k].tolist(), strict=True)],
+            )
+        if found is None:  # two pieces of one hash
+            texts = [whole[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            parts = [np.array(x, np.uint32) for x in self._library(texts)]
+            first = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
+            return np.concatenate(parts), first
+        begin, count = found[0][codes], found[1][codes].astype(np.int64)
+        ids = self.ids[W.ranges(begin, count)]
         first = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(start, offsets)]
         return ids, first
 
