@@ -4,11 +4,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from sparrowmill.llm import bands, classifier, packing, repair
+from sparrowmill.llm import bands, classifier, packing, repair, token_ids
+from sparrowmill.llm import words as W
 from sparrowmill.llm.token_ids import BYTE_BPE
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -194,7 +196,9 @@ def test_repair_round_trip():
     for n, kinds in ((0, 3), (1, 3), (50, 1), (3000, 3), (5000, 40)):
         ids = rng.integers(0, kinds, n)
         cuts = np.unique(np.concatenate([[0, n], rng.integers(0, n + 1, 7)])) if n else np.array([0])
-        block = repair.Block(repair.write_block(ids, cuts, 100, rounds=6))
+        payload = repair.write_block(ids, cuts, 100)
+        assert n < 5000 or len(payload) < 2 * n
+        block = repair.Block(payload)
         for i in range(len(cuts) - 1):
             assert block.document(i).tolist() == ids[cuts[i] : cuts[i + 1]].tolist()
         for _ in range(20):
@@ -205,6 +209,43 @@ def test_repair_round_trip():
     assert len(repair.compress(repeated, np.array([4000]), 100, rounds=6).symbols) < 1000
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(6)
+    for n, kinds in ((20000, 3), (20000, 500), (30000, 1)):
+        ids = rng.integers(0, kinds, n)
+        ids[n // 2 :] = np.resize(ids[:97], n - n // 2)  # one passage, again and again
+        cuts = np.arange(0, n + 1, 1000)
+        grammar = repair.compress(ids, cuts[1:], 1000)
+        lengths = grammar.lengths()
+        assert (repair.expand(grammar, grammar.symbols, lengths) == ids).all()
+        ends = np.cumsum(lengths[grammar.symbols])
+        assert np.isin(cuts[1:], ends).all()  # no symbol reaches past a document
+        inner = ~np.isin(ends[:-1], cuts)
+        pairs = np.stack([grammar.symbols[:-1], grammar.symbols[1:]], 1)[inner]
+        for pair, count in zip(*np.unique(pairs, axis=0, return_counts=True), strict=True):
+            assert count < repair.LEAST_COUNT, pair
+    for width in (1, 5, 17, 32):
+        values = rng.integers(0, 1 << width, 70_001, dtype=np.uint64)
+        values[0] = (1 << width) - 1
+        raw = b"x" + repair.packed(values) + b"y"
+        back, at = repair.unpacked(raw, 1, len(values))
+        assert (back == values).all() and raw[at:] == b"y"
+
+
+def test_pieces_of_one_hash_are_encoded_by_the_library(monkeypatch):
+    codec = token_ids.Encoder(token_ids.BYTE_BPE)
+    texts = pa.array(["one two, three", None, " four  five six\nseven"])
+    want = [i for t in texts.to_pylist() for i in library_ids(t, 0)[:-1]]
+    assert codec.encode(texts)[0].tolist() == want
+    few = W.hash_spans
+    monkeypatch.setattr(W, "hash_spans", lambda data, start, length, seed=0: few(data, start, length, seed) % (3 if seed == 0 else 1 << 60))
+    codec = token_ids.Encoder(token_ids.BYTE_BPE)
+    assert codec.encode(texts)[0].tolist() == want
+    assert codec.encode(pa.array(["one"]))[0].tolist() == library_ids("one", 0)[:-1]
+    assert codec.encode(pa.array(["two"]))[0].tolist() == library_ids("two", 0)[:-1]
+    assert codec.encode(pa.array(["six"]))[0].tolist() == library_ids("six", 0)[:-1]
+
+
 @pytest.mark.parametrize("block_tokens", [500, 1 << 20])
 def test_token_files(spark, block_tokens):
     texts, ids = TEXTS + TEXTS[5:7], [*range(len(TEXTS)), 5, None]
