@@ -266,7 +266,7 @@ def _segments(
 
 
 def _search(segments: DataFrame, shards: int, size: int) -> DataFrame:
-    """``(kind, copied, windows)``: of each distinct segment, a bit for each repeated window."""
+    """``(kind, copied, windows, places)``: of each distinct segment, a bit for each repeated window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, shard = [], None
@@ -286,7 +286,8 @@ def _search(segments: DataFrame, shards: int, size: int) -> DataFrame:
                     codes[before] |= _MARK
                     parts.append(codes)
                 marks[indexed] = FMIndex(parts).windows(size, ~copied[indexed])
-            return pa.RecordBatch.from_arrays([rows.column(2), rows.column(3), pa.array(marks)], ["kind", "copied", "windows"])
+            columns = [rows.column(2), rows.column(3), pa.array(marks), rows.column(6)]
+            return pa.RecordBatch.from_arrays(columns, ["kind", "copied", "windows", "places"])
 
         for batch in batches:
             shard_of = batch.column(0).to_numpy()
@@ -304,10 +305,10 @@ def _search(segments: DataFrame, shards: int, size: int) -> DataFrame:
         W.release()
 
     return (
-        segments.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "kind", "copied", "before", "segment")
+        segments.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "kind", "copied", "before", "segment", "places")
         .repartition("shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(run, "kind binary, copied boolean, windows long")
+        .mapInArrow(run, "kind binary, copied boolean, windows long, places long")
     )
 
 
@@ -334,8 +335,8 @@ def _by_window(segments: DataFrame, size: int) -> DataFrame:
         many = F.broadcast(many)
     hit = each.join(many, "window", "left_semi")
     found = hit.groupBy("kind").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("windows"))
-    return segments.select("kind", "copied").join(found, "kind", "left").select(
-        "kind", "copied", F.coalesce("windows", F.lit(0).cast("long")).alias("windows")
+    return segments.select("kind", "copied", "places").join(found, "kind", "left").select(
+        "kind", "copied", F.coalesce("windows", F.lit(0).cast("long")).alias("windows"), "places"
     )
 
 
@@ -396,8 +397,8 @@ def repeated_places(
     kinds = (
         of_shared(["kind", "before", "segment", "place"])
         .groupBy("anchor", "weight", "kind", "before", "segment")
-        .agg(F.min("place").alias("one"), F.max("place").alias("two"))
-        .select("anchor", "weight", "kind", "before", "segment", F.expr("one != two").alias("copied"))
+        .agg(F.min("place").alias("one"), F.max("place").alias("two"), F.count(F.lit(1)).alias("places"))
+        .select("anchor", "weight", "kind", "before", "segment", F.expr("one != two").alias("copied"), "places")
     )
     if n_hot:
         kinds = cut_lineage(kinds)  # read twice
@@ -408,7 +409,7 @@ def repeated_places(
     found = cut_lineage(found.where("copied OR windows != 0"))
     n_found = found.count()
     rows = of_shared(["seq", "pos", "kind", "before", "n_words"]).select("seq", "pos", "kind", "before", "n_words").distinct()
-    hits = sized_join(rows, found.withColumn("weight", F.lit(1)), n_found * 64, "kind", "weight", ["seq", "pos"])
+    hits = sized_join(rows, found, n_found * 72, "kind", "places", ["seq", "pos"])  # a passage may stand in very many texts
     every = F.expr(f"shiftleft(1L, greatest(n_words - {size - 1}, 0)) - 1")
     run = F.struct((F.col("pos") - F.col("before")).alias("start"), F.when(F.col("copied"), every).otherwise(F.col("windows")).alias("windows"))
     # A text's anchors: some for every hundred of its own words.

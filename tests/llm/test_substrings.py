@@ -6,8 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparrowmill.llm import fmindex
+from sparrowmill.operators import skew
 
 
 def brute(texts, size):
@@ -91,3 +93,29 @@ def test_substring_dedup_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     assert fmindex.substring_dedup(docs.limit(0)).count() == 0
     assert fmindex.substring_dedup(docs).collect()[0].n_removed == 0
+
+
+def test_a_passage_in_very_many_texts_is_dealt_over_tasks(spark, monkeypatch):
+    """With every side shuffled, the segment of a passage that most texts hold has several salts."""
+    found = {}
+    plain = skew.salt_counts
+
+    def spy(dim, key, weight, partitions):
+        hot = plain(dim, key, weight, partitions)
+        if key == "kind":
+            most = dim.orderBy(F.desc(weight)).select(F.xxhash64(key), weight).first()
+            found.update(most=most, salts={r[0]: r[1] for r in hot.collect()})
+        return hot
+
+    monkeypatch.setattr(skew, "salt_counts", spy)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(skew, "shuffle_partitions", lambda df: 64)  # the share that makes a key hot, as on a cluster
+    r = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(200))  # longer than a segment, so some segments are equal
+    texts = [" ".join(f"x{r.random()}" for _ in range(40)) + f" {passage} " + " ".join(f"y{r.random()}" for _ in range(40)) for _ in range(120)]
+    texts += [f"{k % 30} " * 3 + " ".join(f"o{k % 30}w{i}" for i in range(50)) + f" e{k}" for k in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(6)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in fmindex.substring_dedup(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 35)
+    key, places = found["most"]
+    assert places >= 120 and found["salts"][key] > 1
