@@ -170,6 +170,30 @@ def test_bounded_lists(spark, monkeypatch, size, broadcast_bytes):
     assert got == plain_lists(rows, size)
 
 
+@pytest.mark.parametrize("size", [1, 7, 100, 1000])
+@pytest.mark.parametrize("copies", ["n", None])
+def test_lists_over_many_tasks(spark, monkeypatch, size, copies):
+    """Keys beyond one task's room are cut into the same segments, from runs of any length."""
+    monkeypatch.setattr(lists, "LIST_SIZE", 20)
+    monkeypatch.setattr(lists, "RUN_ROWS", 30)
+    rng = random.Random(size)
+    rows = [(k, f"d{rng.randrange(300):04}", rng.choice([1, 1, 2, 30]) if copies else 1) for k in "ab" for _ in range(400)]
+    rows += [(f"k{i}", f"d{j:04}", 1) for i in range(20) for j in rng.sample(range(400), 9)]
+    df = spark.createDataFrame(rows, "k string, item string, n int").repartition(5)
+    found = lists.bounded_lists(df, "k", ["item"], ["item"], copies, size).collect()
+    got = {(r.k, r.segment): (r.total, [i["item"] for i in r["items"]]) for r in found}
+    assert len(found) == len(got) and got == plain_lists(rows, size)
+
+
+def test_lists_of_one_task_are_not_stored(spark, monkeypatch):
+    """Short segments alone do not make a key large: nothing is range-partitioned, and rows travel once."""
+    monkeypatch.setattr(lists, "_stored", None)
+    df = spark.range(3000).selectExpr("id % 3 AS k", "id AS item")
+    cut = lists.bounded_lists(df, "k", ["item"], ["item"], None, 100)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and cut.count() == 30
+
+
 def test_record_index_adds_up_to_document_index(corpus):
     def summed(granularity, size):
         df = index.inverted_index(corpus, granularity, size=size)
