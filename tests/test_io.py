@@ -74,6 +74,23 @@ def test_documents_keep_their_names(spark, tmp_path):
     assert got == {"x": [("a/b 1.txt", 1), ("é=%", 2)], "y": [("007", 1), ("a/b 1.txt", 2)]}
 
 
+def test_folders_are_listed_many_to_a_task(spark, tmp_path):
+    path, context = str(tmp_path / "many"), spark.sparkContext
+    lines = spark.range(60).selectExpr("concat('d', id) AS doc", "0 AS line_no", "'x' AS line")
+    sinks.write_documents(lines, path)
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    context.setJobGroup("listing", "listing")
+    try:
+        back = read_documents(spark, path)
+        tracker = context.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+        assert 0 < sum(tracker.getStageInfo(s).numTasks for s in stages) <= 2 * context.defaultParallelism < 60
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+    assert back.select("doc").distinct().count() == 60
+
+
 def files_under(folder):
     return [os.path.join(d, f) for d, _, names in os.walk(folder) for f in names]
 
