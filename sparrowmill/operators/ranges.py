@@ -102,7 +102,7 @@ def _text(column) -> pa.Array:
 
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys, ascending, and the sum of the weights of each."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
     return keys[first], np.add.reduceat(weights[order], first)
@@ -123,7 +123,7 @@ def _lines(batches: Iterable[pa.RecordBatch], by_record: bool, most: int) -> Ite
     held, n_held = [], 0
     for batch in batches:
         held.append(batch)
-        n_held += len(pc.list_flatten(batch.column("tokens")))
+        n_held += pc.sum(pc.list_value_length(batch.column("tokens"))).as_py() or 0
         if n_held < most:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
@@ -133,7 +133,7 @@ def _lines(batches: Iterable[pa.RecordBatch], by_record: bool, most: int) -> Ite
         if whole:
             yield table.slice(0, whole), record[:whole]
             held = table.slice(whole).to_batches()
-            n_held = sum(len(pc.list_flatten(b.column("tokens"))) for b in held)
+            n_held = pc.sum(pc.list_value_length(table.slice(whole).column("tokens"))).as_py() or 0
     if held:
         table = pa.Table.from_batches(held).combine_chunks()
         yield table, numbered(table)

@@ -1,11 +1,13 @@
 """Lists put together from runs equal the plain ones, however rows, runs and stretches are cut."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from sparrowmill.functions.text import split_lines
 from sparrowmill.operators import graph, index, lists, ranges
 
 
@@ -120,3 +122,18 @@ def test_other_keys_are_listed_as_before(spark):
     assert sorted((r.src, r.degree, r.out) for r in graph.adjacency(edges).collect()) == [(1, 3, [9, 10, 10]), (2, 1, [3])]
     corpus = spark.createDataFrame([(10, 0, "x"), (9, 0, "x")], "doc int, line_no int, line string")
     assert [p.doc for p in index.inverted_index(corpus).select(F.inline("postings")).collect()] == [9, 10]
+
+
+def test_lines_end_alike_however_they_end(spark):
+    """As a text file would be read; no regular expression runs over whole texts."""
+    texts = ["", "\n", "\r\n", "\r", "a", "a\n", "a\r\n", "a\r\r\n", "a\n\r", "a\n\r\n", "\n\n", "\r\r", "\r\n\r\n",
+             "a\r\nb\rc\nd", "é\r\n ü \x0b x\f\t y ", " ", "a b\u0085c d\n"]
+    found = spark.createDataFrame(enumerate(texts), "id int, text string").select("id", split_lines("text").alias("x"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
+
+    def plain(text):
+        cut = re.split(r"\r\n|\n|\r", text)
+        return (cut[:-1] if cut[-1] == "" else cut) if text else None
+
+    assert {r.id: r.x for r in found.collect()} == {i: plain(t) for i, t in enumerate(texts)}
